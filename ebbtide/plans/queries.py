@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ebbtide.functions import bands, features
 from ebbtide.operators import (
+    attribution,
     cleaning,
     cohort,
     evaluation,
     explain,
     impact,
     linear,
+    models,
     ranking,
     reports,
     sampling,
@@ -23,17 +27,21 @@ from ebbtide.operators import (
     segments,
     validation,
 )
+from ebbtide.operators.models import FITTERS
+from ebbtide.operators.smote import balance
+from ebbtide.plans.training import TrainingRun, prepare, train_and_select
 from ebbtide.schema import ID, NUMERIC, TARGET
 from ebbtide.session import shared_folder
 from ebbtide.sources import files
+from ebbtide.sources.bundle import Bundle, load_bundle, save_bundle
 from ebbtide.sources.tables import requests, subscribers
+from ebbtide.streaming.score import score_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 # Centroids in raw units for the checked segment queries.
 CENTROIDS = {0: (12.0, 60.0, 700.0), 1: (36.0, 65.0, 2400.0), 2: (58.0, 95.0, 5500.0)}
-_SEGMENT_COLUMNS = ("tenure", "MonthlyCharges", "TotalCharges")
 
 
 def query(name: str):
@@ -440,3 +448,116 @@ def segment_risk(spark: SparkSession, folder: str) -> DataFrame:
 simple("shap_linear", explain.shap_linear)
 simple("shap_linear_rows", explain.shap_linear_rows)
 simple("partial_dependence", explain.partial_dependence)
+
+
+# --- streaming -----------------------------------------------------------------------------------
+
+
+@query("score_stream")
+def stream_requests(spark: SparkSession, folder: str) -> DataFrame:
+    """Requests land as JSON files, a stream scores them, the output table is read back."""
+    place = scratch(spark, f"stream_{uuid.uuid4().hex}")
+    files.write_requests(requests(spark, folder), f"{place}/in")
+    score_stream(spark, f"{place}/in", f"{place}/out", f"{place}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{place}/out")
+
+
+# --- fitted models -----------------------------------------------------------------------------------
+
+_RUNS: dict[tuple[str, str, str], TrainingRun] = {}
+
+
+def training_run(spark: SparkSession, folder: str, method: str = "smote") -> TrainingRun:
+    """One training run per session and folder: its models are fitted once and shared by
+    the queries below."""
+    key = (spark.sparkContext.applicationId, folder, method)
+    if key not in _RUNS:
+        _RUNS[key] = prepare(clean(spark, folder), method)
+    return _RUNS[key]
+
+
+def _fit_query(name: str, model: str) -> None:
+    QUERIES[name] = lambda spark, folder: rounded(training_run(spark, folder).metrics((model,)).drop("position"))
+
+
+for _model in FITTERS:
+    _fit_query(f"fit_{_model}", _model)
+
+
+@query("train_and_select")
+def select_trained(spark: SparkSession, folder: str) -> DataFrame:
+    """All seven candidates with their quality, the chosen one and its thresholds."""
+    chosen = train_and_select(training_run(spark, folder))
+    return rounded(
+        chosen.metrics.withColumns(
+            {
+                "selected": F.col("model") == chosen.name,
+                **{n: F.when(F.col("model") == chosen.name, F.lit(v)) for n, v in chosen.thresholds.items()},
+            }
+        )
+    )
+
+
+@query("feature_importance")
+def feature_importance(spark: SparkSession, folder: str) -> DataFrame:
+    return rounded(models.feature_importance(spark, training_run(spark, folder).model("random_forest")))
+
+
+@query("save_load_bundle")
+def save_load_bundle(spark: SparkSession, folder: str) -> DataFrame:
+    """A saved and reloaded bundle scores the whole raw table."""
+    run, path = training_run(spark, folder), scratch(spark, "bundle")
+    save_bundle(spark, Bundle(run.preprocessing, (run.model("logistic"),), {"f1_threshold": 0.52}), path)
+    return rounded(load_bundle(spark, path).score(subscribers(spark, folder), mode="f1"))
+
+
+@query("oversample_smote")
+def oversample_smote(spark: SparkSession, folder: str) -> DataFrame:
+    """Class sizes before and after, and the range of every coordinate that was made."""
+    run = training_run(spark, folder)
+    before = sampling.class_counts(run.train, "label").withColumnRenamed("n", "before")
+    after = sampling.class_counts(run.balanced, "label").withColumnRenamed("n", "after")
+    return before.join(after, "label")
+
+
+@query("balance")
+def balance_methods(spark: SparkSession, folder: str) -> DataFrame:
+    """Class sizes under each balancing method."""
+    train = training_run(spark, folder).train.withColumn("features", vector_to_array("features"))
+    out = None
+    for method in ("smote", "undersampling", "class_weight", "other"):
+        balanced = training_run(spark, folder).balanced if method == "smote" else balance(train, method)
+        line = sampling.class_counts(balanced, "label").select(F.lit(method).alias("method"), "label", "n")
+        out = line if out is None else out.unionByName(line)
+    return out
+
+
+@query("fit_segments")
+def fit_segments(spark: SparkSession, folder: str) -> DataFrame:
+    """k-means on the training part, then the profile of its segments."""
+    train, _ = sampling.stratified_split(clean(spark, folder))
+    found = models.fit_segments(train)
+    return segments.segment_profile(segments.assign_segments(train, found.centroids, scaler=found.scaler))
+
+
+@query("segment_centers")
+def segment_centers(spark: SparkSession, folder: str) -> DataFrame:
+    train, _ = sampling.stratified_split(clean(spark, folder))
+    rows = [(c, *centre) for c, centre in models.fit_segments(train).centers().items()]
+    return rounded(spark.createDataFrame(rows, "Cluster int, tenure double, MonthlyCharges double, TotalCharges double"))
+
+
+@query("shap_sampled")
+def shap_sampled(spark: SparkSession, folder: str) -> DataFrame:
+    """100 test rows explained against 50 training rows."""
+    run = training_run(spark, folder)
+    sample = sampling.preview(run.test, "row_key", 100)
+    background = sampling.explain_sample(run.train, "row_key", 50)
+    return rounded(attribution.shap_sampled(run.model("random_forest"), sample, background, features.MODEL_COLUMNS))
+
+
+@query("permutation_importance")
+def permutation_importance(spark: SparkSession, folder: str) -> DataFrame:
+    run = training_run(spark, folder)
+    found = attribution.permutation_importance(run.model("logistic"), run.test, features.MODEL_COLUMNS)
+    return rounded(explain.importance_table(found))

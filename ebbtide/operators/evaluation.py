@@ -188,22 +188,25 @@ def best_business_threshold(
 # --- curves ---------------------------------------------------------------------------
 
 
-def curve_points(df: DataFrame, by: Sequence[str] = (), rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    """One row per distinct score: pos, neg, and tp, fp counted down to that score."""
-    by = list(by)
-    counts = materialise(
+def score_counts(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Positives and negatives per distinct score, written once. All curve work starts
+    here; the evaluation frame itself is read a single time."""
+    return materialise(
         df.groupBy(*by, "p").agg(
             F.count_if(F.col("y") == 1).alias("pos"), F.count_if(F.col("y") == 0).alias("neg")
         )
     )
+
+
+def curve_points(counts: DataFrame, by: Sequence[str] = (), rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+    """Score counts with tp and fp, counted from the highest score down."""
     points = running_totals(counts, "p", ["pos", "neg"], by, rows_per_bucket=rows_per_bucket)
     return points.withColumnsRenamed({"cum_pos": "tp", "cum_neg": "fp"})
 
 
-def class_totals(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    return df.groupBy(*by).agg(
-        F.count_if(F.col("y") == 1).alias("all_pos"), F.count_if(F.col("y") == 0).alias("all_neg")
-    )
+def _class_totals(counts: DataFrame) -> tuple[int, int]:
+    row = counts.agg(F.coalesce(F.sum("pos"), F.lit(0)), F.coalesce(F.sum("neg"), F.lit(0))).first()
+    return row[0], row[1]
 
 
 def roc_curve(df: DataFrame, drop_intermediate: bool = True, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
@@ -212,16 +215,17 @@ def roc_curve(df: DataFrame, drop_intermediate: bool = True, rows_per_bucket: in
     With ``drop_intermediate`` a point is left out when the step before it equals the step
     after it, since the line through it stays straight.
     """
-    totals = class_totals(df).first()
-    points = curve_points(df, rows_per_bucket=rows_per_bucket)
+    counts = score_counts(df)
+    positives, negatives = _class_totals(counts)
+    points = curve_points(counts, rows_per_bucket=rows_per_bucket)
     if drop_intermediate:
         first = F.col("tp") + F.col("fp") == F.col("pos") + F.col("neg")
         turns = (F.col("next_pos") != F.col("pos")) | (F.col("next_neg") != F.col("neg"))
         points = points.where(first | F.col("next_pos").isNull() | turns)
     curve = points.select(
         F.col("p").alias("threshold"),
-        F.try_divide("fp", F.lit(totals["all_neg"])).alias("fpr"),
-        F.try_divide("tp", F.lit(totals["all_pos"])).alias("tpr"),
+        F.try_divide("fp", F.lit(negatives)).alias("fpr"),
+        F.try_divide("tp", F.lit(positives)).alias("tpr"),
     )
     start = df.sparkSession.range(1).select(
         F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr")
@@ -231,8 +235,9 @@ def roc_curve(df: DataFrame, drop_intermediate: bool = True, rows_per_bucket: in
 
 def pr_curve(df: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """(threshold, precision, recall) per distinct score, and the end point (null, 1, 0)."""
-    positives = class_totals(df).first()["all_pos"]
-    curve = curve_points(df, rows_per_bucket=rows_per_bucket).select(
+    counts = score_counts(df)
+    positives, _ = _class_totals(counts)
+    curve = curve_points(counts, rows_per_bucket=rows_per_bucket).select(
         F.col("p").alias("threshold"),
         ratio(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"),
         F.coalesce(F.try_divide("tp", F.lit(positives)), F.lit(1.0)).alias("recall"),
@@ -250,7 +255,7 @@ def area_metrics(df: DataFrame, by: Sequence[str] = (), rows_per_bucket: int = R
     are known. Both are null when a class is missing.
     """
     tp, fp, pos, neg = (F.col(c).cast("double") for c in ("tp", "fp", "pos", "neg"))
-    sums = curve_points(df, by, rows_per_bucket).groupBy(*by).agg(
+    sums = curve_points(score_counts(df, by), by, rows_per_bucket).groupBy(*by).agg(
         F.sum(neg * (tp - pos / 2)).alias("pairs"),
         F.sum(pos * tp / (tp + fp)).alias("steps"),
         F.sum("pos").cast("double").alias("all_pos"),
@@ -278,7 +283,7 @@ def evaluate_model(df: DataFrame, threshold: float = 0.5, by: Sequence[str] = ()
     and both the confusion counts and the areas come from that summary.
     """
     by = list(by)
-    points = curve_points(df, by)
+    points = curve_points(score_counts(df, by), by)
     tp, fp, pos, neg = (F.col(c).cast("double") for c in ("tp", "fp", "pos", "neg"))
     flag = F.col("p") >= threshold
     sums = points.groupBy(*by).agg(

@@ -21,6 +21,7 @@ from ebbtide.operators.sampling import with_weights
 from ebbtide.schema import NUMERIC, quoted
 
 _SEED = 42
+TREES = ROUNDS = 200  # fixed values of the training run
 
 
 # --- preprocessing ------------------------------------------------------------------------
@@ -76,10 +77,10 @@ def fit_logistic(train: DataFrame) -> Model:
     ).fit(weighted)
 
 
-def fit_random_forest(train: DataFrame) -> Model:
+def fit_random_forest(train: DataFrame, trees: int = TREES) -> Model:
     """200 trees of depth 12, at least two rows per leaf, balanced class weights."""
     return RandomForestClassifier(
-        numTrees=200,
+        numTrees=trees,
         maxDepth=12,
         minInstancesPerNode=2,
         featureSubsetStrategy="sqrt",
@@ -88,33 +89,35 @@ def fit_random_forest(train: DataFrame) -> Model:
     ).fit(with_weights(train, "balanced", target="label"))
 
 
-def _boosted(train: DataFrame, scheme: str | None, depth: int, columns: str = "all", rows: float = 1.0) -> Model:
+def _boosted(
+    train: DataFrame, rounds: int, scheme: str | None, depth: int, columns: str = "all", rows: float = 1.0
+) -> Model:
     booster = GBTClassifier(
-        maxIter=200, stepSize=0.1, maxDepth=depth, subsamplingRate=rows, featureSubsetStrategy=columns, seed=_SEED
+        maxIter=rounds, stepSize=0.1, maxDepth=depth, subsamplingRate=rows, featureSubsetStrategy=columns, seed=_SEED
     )
     if scheme is None:
         return booster.fit(train)
     return booster.setWeightCol("weight").fit(with_weights(train, scheme, target="label"))
 
 
-def fit_gbt_weighted(train: DataFrame) -> Model:
+def fit_gbt_weighted(train: DataFrame, rounds: int = ROUNDS) -> Model:
     """Depth 6, 80 % of rows and columns, positives weighted by negatives / positives."""
-    return _boosted(train, "scale_pos", 6, "0.8", 0.8)
+    return _boosted(train, rounds, "scale_pos", 6, "0.8", 0.8)
 
 
-def fit_gbt_leafwise(train: DataFrame) -> Model:
+def fit_gbt_leafwise(train: DataFrame, rounds: int = ROUNDS) -> Model:
     """About 31 leaves (depth 5), 80 % of rows and columns, balanced weights."""
-    return _boosted(train, "balanced", 5, "0.8", 0.8)
+    return _boosted(train, rounds, "balanced", 5, "0.8", 0.8)
 
 
-def fit_gbt_symmetric(train: DataFrame) -> Model:
+def fit_gbt_symmetric(train: DataFrame, rounds: int = ROUNDS) -> Model:
     """Depth 6, all rows and columns, positives weighted by all rows / positives."""
-    return _boosted(train, "total_pos", 6)
+    return _boosted(train, rounds, "total_pos", 6)
 
 
-def fit_gbt(train: DataFrame) -> Model:
+def fit_gbt(train: DataFrame, rounds: int = ROUNDS) -> Model:
     """Depth 5, 80 % of the rows per tree, no weights."""
-    return _boosted(train, None, 5, rows=0.8)
+    return _boosted(train, rounds, None, 5, rows=0.8)
 
 
 FITTERS: dict[str, Callable[[DataFrame], Model]] = {

@@ -45,7 +45,7 @@ def running_totals(
     if buckets > 1:
         marks = [i / buckets for i in range(1, buckets)]
         cuts = counts.agg(F.percentile_approx(key, marks, 20 * buckets)).first()[0]
-        splits = [-math.inf, *sorted(set(cuts)), math.inf]
+        splits = [-math.inf, *sorted({float(c) for c in cuts}), math.inf]
         ranged = Bucketizer(splits=splits, inputCol=key, outputCol="_range").transform(counts)
     else:
         ranged = counts.withColumn("_range", F.lit(0.0))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +21,15 @@ def _uniform(*parts) -> Column:
     return F.pmod(F.xxhash64(*parts), F.lit(1 << 52)) / float(1 << 52)
 
 
+def _numbered(counted: DataFrame) -> DataFrame:
+    """Distinct vectors with an id made from their values, so that runs repeat. Should two
+    vectors ever share a hash, another one is used."""
+    for salt in itertools.count():
+        points = materialise(counted.select(F.xxhash64("x", F.lit(salt)).alias("id"), "x", "m"))
+        if points.groupBy("id").count().where("count > 1").isEmpty():
+            return points
+
+
 def oversample_smote(
     df: DataFrame, features: str = "features", label: str = "label", k: int = NEIGHBOURS, seed: int = SEED, exact: bool = True
 ) -> DataFrame:
@@ -41,13 +52,11 @@ def oversample_smote(
     counted = materialise(
         data.where(F.col("label") == minority).groupBy(F.col("features").alias("x")).agg(F.count(F.lit(1)).alias("m"))
     )
-    # Positions in a written table repeat; they become fixed ids by being written too.
-    points = materialise(counted.select(F.monotonically_increasing_id().alias("id"), "x", "m"))
+    points = _numbered(counted)
     # More copies than k: all k neighbours are copies of the row, nothing to search.
     near = nearest_neighbours(points.select("id", "x"), k, exact=exact, seed=seed)
 
-    ordered = points.select("id", F.col("id").cast("double").alias("place"), "m")
-    totals = running_totals(ordered, "place", ["m"], descending=False)
+    totals = running_totals(points.select("id", "m"), "id", ["m"], descending=False)
 
     def upto(total: str) -> str:
         # In decimals: the product of two row counts can exceed 64 bits.
@@ -57,42 +66,39 @@ def oversample_smote(
     quota = totals.select("id", F.expr(f"{upto('cum_m')} - {upto('cum_m - m')}").alias("quota"))
     quota = quota.where(F.col("quota") > 0)
 
-    # A large quota is handed out in chunks, so one popular vector fills many tasks.
-    chunks = F.sequence(F.lit(0), F.floor((F.col("quota") - 1) / _CHUNK))
-    spread = quota.select("id", "quota", F.explode(chunks).alias("chunk"))
-    draws = spread.repartition("id", "chunk").select(
-        "id",
-        F.explode(
-            F.sequence(F.col("chunk") * _CHUNK + 1, F.least((F.col("chunk") + 1) * _CHUNK, F.col("quota")))
-        ).alias("draw"),
-    )
-    # Neighbour list with copies: the row's own copies first, then the others in order.
-    copies = points.select(F.col("id").alias("other"), F.col("m").alias("other_m"))
+    # Neighbour list of a point: its own copies first (0), then the others in order, each
+    # as often as it has copies. ``ys`` holds the neighbours' vectors, so the new rows need
+    # no further join, whose hot key would be the most copied vector.
+    copies = points.select(F.col("id").alias("other"), F.col("m").alias("other_m"), F.col("x").alias("y"))
     others = (
         near.select("id", F.posexplode("hits").alias("rank", "hit"))
         .select("id", "rank", F.col("hit.id").alias("other"))
         .join(copies, "other")
         .groupBy("id")
-        .agg(F.array_sort(F.collect_list(F.struct("rank", "other", "other_m"))).alias("found"))
-    )
-    own = F.array_repeat(F.col("id"), F.least(F.col("m") - 1, F.lit(k)).cast("int"))
-    rest = F.flatten(
-        F.transform("found", lambda f: F.array_repeat(f["other"], F.least(f["other_m"], F.lit(k)).cast("int")))
+        .agg(F.array_sort(F.collect_list(F.struct("rank", "other_m", "y"))).alias("found"))
     )
-    empty = F.array().cast("array<bigint>")
-    lists = points.select("id", "m").join(others, "id", "left").select(
-        "id", F.slice(F.concat(own, F.coalesce(rest, empty)), 1, k).alias("choices")
-    )
-    picked = draws.join(lists, "id").select(
-        "id",
-        F.element_at(
-            "choices", (F.floor(_uniform("id", "draw", F.lit(seed)) * F.size("choices")) + 1).cast("int")
-        ).alias("other"),
+
+    def times(index, count):
+        return F.array_repeat(index.cast("int"), F.least(count, F.lit(k)).cast("int"))
+
+    none = F.array().cast("array<int>")
+    rest = F.flatten(F.transform("found", lambda f, i: times(i + 1, f["other_m"])))
+    choices = F.slice(F.concat(times(F.lit(0), F.col("m") - 1), F.coalesce(rest, none)), 1, k)
+    lists = points.join(others, "id", "left").select("id", "x", choices.alias("choices"), F.col("found.y").alias("ys"))
+
+    # A large quota is handed out in chunks, so one much copied vector fills many tasks.
+    chunks = F.sequence(F.lit(0), F.floor((F.col("quota") - 1) / _CHUNK))
+    spread = lists.join(quota, "id").withColumn("chunk", F.explode(chunks)).repartition("id", "chunk")
+    first, last = F.col("chunk") * _CHUNK + 1, F.least((F.col("chunk") + 1) * _CHUNK, F.col("quota"))
+    draws = spread.withColumn("draw", F.explode(F.sequence(first, last)))
+    place = (F.floor(_uniform("id", "draw", F.lit(seed)) * F.size("choices")) + 1).cast("int")
+    chosen = F.element_at("choices", place)
+    picked = draws.select(
+        "x",
+        F.when(chosen == 0, F.col("x")).otherwise(F.get("ys", chosen - 1)).alias("y"),
         _uniform("draw", "id", F.lit(seed + 1)).alias("gap"),
     )
-    vectors = points.select("id", "x")
-    ends = vectors.select(F.col("id").alias("other"), F.col("x").alias("y"))
-    synthetic = picked.join(vectors, "id").join(ends, "other").select(
+    synthetic = picked.select(
         F.zip_with("x", "y", lambda a, b: a + F.col("gap") * (b - a)).alias("features"),
         F.lit(float(minority)).alias("label"),
     )

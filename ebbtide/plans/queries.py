@@ -513,7 +513,7 @@ def save_load_bundle(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("oversample_smote")
 def oversample_smote(spark: SparkSession, folder: str) -> DataFrame:
-    """Class sizes before and after, and the range of every coordinate that was made."""
+    """Class sizes of the training part before and after."""
     run = training_run(spark, folder)
     before = sampling.class_counts(run.train, "label").withColumnRenamed("n", "before")
     after = sampling.class_counts(run.balanced, "label").withColumnRenamed("n", "after")

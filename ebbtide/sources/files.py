@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ebbtide.schema import CUSTOMER, REQUEST
 
@@ -35,10 +36,10 @@ def write_csv(df: DataFrame, path: str) -> None:
 def read_requests(spark: SparkSession, path: str, lines: bool = True) -> DataFrame:
     """Scoring requests: one JSON object per line, or (``lines=False``) whole files that
     hold one object or one list of objects. Text that is neither is an error."""
-    schema = REQUEST.add(_CORRUPT, "string") if not lines else REQUEST
-    frame = spark.read.schema(schema).option("multiLine", not lines).json(path)
     if lines:
-        return frame
+        return spark.read.schema(REQUEST).json(path)
+    schema = T.StructType([*REQUEST.fields, T.StructField(_CORRUPT, T.StringType())])
+    frame = spark.read.schema(schema).option("multiLine", True).json(path)
     bad = F.col(_CORRUPT).isNotNull()
     return frame.withColumn(
         _CORRUPT, F.when(bad, F.raise_error(F.lit("Expected a list of customer data")))

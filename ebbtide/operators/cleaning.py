@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from ebbtide.functions import bands, features
 from ebbtide.operators.ranking import exact_median
-from ebbtide.schema import ID, NUMERIC, TARGET, quoted
+from ebbtide.schema import ID, NUMERIC, TARGET, literal, quoted
 
 
 def coerce_numeric(df: DataFrame, columns: Iterable[str] = ("TotalCharges",)) -> DataFrame:
@@ -57,7 +57,10 @@ def default_total_charges(df: DataFrame) -> DataFrame:
 
 
 def with_expressions(df: DataFrame, columns: dict[str, str]) -> DataFrame:
-    return df.withColumns({name: F.expr(sql) for name, sql in columns.items()})
+    """Add or replace columns given as SQL text."""
+    kept = [f"({columns[c]}) AS {quoted(c)}" if c in columns else quoted(c) for c in df.columns]
+    added = [f"({sql}) AS {quoted(c)}" for c, sql in columns.items() if c not in df.columns]
+    return df.selectExpr(*kept, *added)
 
 
 def create_features(df: DataFrame, median: float | None = None) -> DataFrame:
@@ -77,9 +80,8 @@ def create_features(df: DataFrame, median: float | None = None) -> DataFrame:
 
 def one_hot_drop_first(df: DataFrame, keep: Sequence[str] = (ID,)) -> DataFrame:
     """Featured table to the 46 model columns, first level of every category left out."""
-    plain = [F.col(c) for c in features.PLAIN]
-    coded = [F.expr(sql).alias(name) for name, sql in features.dummies().items()]
-    return df.select(*keep, *plain, *coded)
+    coded = [f"{sql} AS {quoted(name)}" for name, sql in features.dummies().items()]
+    return df.selectExpr(*keep, *features.PLAIN, *coded)
 
 
 def one_hot_align(
@@ -96,36 +98,28 @@ def one_hot_align(
     for name in expected:
         source = next((c for c in text if name.startswith(c + "_")), None)
         if name in types and name not in text:
-            out.append(F.col(quoted(name)).alias(name))
-            found += 1
+            sql, known = quoted(name), True
         elif source is not None:
-            out.append(F.col(quoted(source)).eqNullSafe(name[len(source) + 1 :]).cast("int").alias(name))
-            found += 1
+            sql, known = f"CAST({quoted(source)} <=> {literal(name[len(source) + 1 :])} AS INT)", True
         else:
-            out.append(F.lit(0).alias(name))
+            sql, known = "0", False
+        out.append(f"{sql} AS {quoted(name)}")
+        found += known
     if not found:
         raise ValueError("No matching columns found between the data and the model's expected columns.")
-    return df.select(*[c for c in keep if c in types], *out)
+    return df.selectExpr(*[quoted(c) for c in keep if c in types], *out)
 
 
 def select_important(df: DataFrame, keep: Sequence[str] = (ID,)) -> DataFrame:
     """The short feature list, taken after full encoding (every level has a column)."""
     coded = features.dummies(drop_first=False)
-    return df.select(
-        *keep,
-        *[
-            F.expr(coded[name]).alias(name) if name in coded else F.col(name)
-            for name in features.IMPORTANT
-        ],
-    )
+    return df.selectExpr(*keep, *[f"{coded.get(name, quoted(name))} AS {quoted(name)}" for name in features.IMPORTANT])
 
 
 def fit_scaler(df: DataFrame, columns: Sequence[str] = features.MODEL_COLUMNS) -> dict[str, tuple[float, float]]:
     """Mean and population deviation per column, from one aggregate row."""
-    row = df.agg(
-        *[F.avg(F.col(quoted(c)).cast("double")) for c in columns],
-        *[F.stddev_pop(F.col(quoted(c)).cast("double")) for c in columns],
-    ).first()
+    values = [f"CAST({quoted(c)} AS DOUBLE)" for c in columns]
+    row = df.selectExpr(*[f"avg({v})" for v in values], *[f"stddev_pop({v})" for v in values]).first()
     return {c: (row[i], row[len(columns) + i] or 1.0) for i, c in enumerate(columns)}
 
 
@@ -137,7 +131,7 @@ def scaled_expressions(scaler: dict[str, tuple[float, float]]) -> dict[str, str]
 
 
 def standard_scale(df: DataFrame, scaler: dict[str, tuple[float, float]]) -> DataFrame:
-    return df.withColumns({name: F.expr(sql) for name, sql in scaled_expressions(scaler).items()})
+    return with_expressions(df, scaled_expressions(scaler))
 
 
 def charge_scatter(df: DataFrame) -> DataFrame:

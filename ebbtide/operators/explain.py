@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ebbtide.operators.linear import MAIN, LinearScorer
-from ebbtide.schema import DOMAINS, ID
+from ebbtide.schema import DOMAINS, ID, literal, quoted
 
 # The plotted ranges and their number of points.
 GRIDS = {"tenure": (0.0, 72.0), "MonthlyCharges": (20.0, 120.0)}
@@ -17,8 +17,17 @@ CATEGORIES = ("Contract", "InternetService", "PaymentMethod")
 
 
 def feature_means(df: DataFrame, scorer: LinearScorer = MAIN) -> dict[str, float]:
-    row = df.agg(*[F.avg(v) for v in scorer.values().values()]).first()
-    return dict(zip(scorer.terms, row))
+    row = df.selectExpr(*[f"avg({t.sql})" for t in scorer.terms]).first()
+    return {t.name: mean for t, mean in zip(scorer.terms, row)}
+
+
+def _contributions(df: DataFrame, scorer: LinearScorer) -> dict[str, str]:
+    means = feature_means(df, scorer)
+    return {
+        t.name: f"({t.sql} - CAST('{means[t.name]!r}' AS DOUBLE)) * {t.weight!r}D"
+        for t in scorer.terms
+        if means[t.name] is not None
+    }
 
 
 def shap_linear_rows(df: DataFrame, scorer: LinearScorer = MAIN, keep: Sequence[str] = (ID,)) -> DataFrame:
@@ -27,21 +36,15 @@ def shap_linear_rows(df: DataFrame, scorer: LinearScorer = MAIN, keep: Sequence[
     For a linear model the Shapley value is weight * (value - mean), so the contributions
     of a row add up to its logit minus the mean logit.
     """
-    means = feature_means(df, scorer)
-    values = scorer.values()
-    return df.select(
-        *keep, *[((values[f] - means[f]) * weight).alias(f) for f, (_, weight) in scorer.terms.items()]
-    )
+    return df.selectExpr(*keep, *[f"{sql} AS {quoted(f)}" for f, sql in _contributions(df, scorer).items()])
 
 
 def shap_linear(df: DataFrame, scorer: LinearScorer = MAIN) -> DataFrame:
     """Mean absolute contribution per feature: the importance of a linear model."""
-    features = list(scorer.terms)
-    spread = shap_linear_rows(df, scorer, keep=()).agg(
-        *[F.avg(F.abs(F.col(f"`{f}`"))).alias(f) for f in features]
-    )
-    lines = [F.struct(F.lit(f).alias("Feature"), F.col(f"`{f}`").alias("Importance")) for f in features]
-    return spread.select(F.explode(F.array(*lines)).alias("l")).select("l.*")
+    spread = _contributions(df, scorer)
+    means = df.selectExpr(*[f"avg(abs({sql})) AS {quoted(f)}" for f, sql in spread.items()])
+    pairs = ", ".join(f"{literal(f)}, {quoted(f)}" for f in spread)
+    return means.selectExpr(f"stack({len(spread)}, {pairs}) AS (Feature, Importance)")
 
 
 def importance_table(importance: DataFrame) -> DataFrame:
@@ -52,33 +55,36 @@ def top_features(importance: DataFrame, n: int = 10) -> DataFrame:
     return importance_table(importance).limit(n)
 
 
-def _grid(low: float, high: float, points: int) -> Column:
-    step = (high - low) / (points - 1)
-    return F.transform(F.sequence(F.lit(0), F.lit(points - 1)), lambda i: F.lit(low) + i * F.lit(step))
+def _grid(feature: str) -> list[float | str]:
+    if feature in DOMAINS:
+        return list(DOMAINS[feature])
+    low, high = GRIDS[feature]
+    return [low + i * ((high - low) / (GRID_POINTS - 1)) for i in range(GRID_POINTS)]
 
 
 def partial_dependence(df: DataFrame, scorer: LinearScorer = MAIN) -> DataFrame:
     """Mean probability with one feature set to each value of its grid, all rows kept.
 
-    Rows meet the fixed grid inside the map task and are reduced there again by partial
-    sums, so only one line per grid value and task is shuffled. All features share a scan.
+    A row's logit without the feature is computed once per feature. Each grid value then
+    adds a constant, so a cell costs one logistic call. Cells are reduced by partial sums
+    in the same task: what is shuffled is one line per grid value and task.
     """
-    no_text, no_number = F.lit(None).cast("string"), F.lit(None).cast("double")
-
-    def entry(feature: str, category: Column, value: Column) -> Column:
-        return F.struct(F.lit(feature).alias("feature"), category.alias("category"), value.alias("value"))
-
-    def entries(feature: str) -> Column:
-        return F.transform(_grid(*GRIDS[feature], GRID_POINTS), lambda v: entry(feature, no_text, v))
-
-    grids = [entries(f) for f in GRIDS]
-    grids += [F.array(*[entry(f, F.lit(level), no_number) for level in DOMAINS[f]]) for f in CATEGORIES]
-    met = df.select("*", F.explode(F.concat(*grids)).alias("_g"))
-    here = F.col("_g.feature")
-    replaced = met.withColumns(
-        {f: F.when(here == f, F.col("_g.value")).otherwise(F.col(f)) for f in GRIDS}
-        | {f: F.when(here == f, F.col("_g.category")).otherwise(F.col(f)) for f in CATEGORIES}
-    )
-    return replaced.groupBy("_g.feature", "_g.category", "_g.value").agg(
-        F.avg(scorer.probability()).alias("probability")
+    views = (*GRIDS, *CATEGORIES)
+    cells = [(f, value) for f in views for value in _grid(f)]
+    entries = [
+        f"struct({i} AS cell, {views.index(f)} AS f, "
+        f"{sum((t.contribution(v) for t in scorer.terms if t.column == f), 0.0)!r}D AS plus)"
+        for i, (f, v) in enumerate(cells)
+    ]
+    rest = ", ".join(scorer.logit_sql(without=f) for f in views)
+    met = df.selectExpr(f"array({rest}) AS rest").selectExpr("rest", f"inline(array({', '.join(entries)}))")
+    curve = met.groupBy("cell").agg(F.expr(f"avg({scorer.probability_sql('rest[f] + plus')}) AS probability"))
+
+    def labels(kind: type) -> str:
+        shown = [(literal(v) if kind is str else f"{v!r}D") if isinstance(v, kind) else "NULL" for _, v in cells]
+        return f"array({', '.join(shown)})[cell]"
+
+    names = f"array({', '.join(literal(f) for f, _ in cells)})[cell]"
+    return curve.selectExpr(
+        f"{names} AS feature", f"{labels(str)} AS category", f"{labels(float)} AS value", "probability"
     )

@@ -6,71 +6,85 @@ and every score can be recomputed in SQL.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ebbtide.functions.bands import one_zero
-from ebbtide.schema import ID, TARGET
+from ebbtide.schema import ID, TARGET, literal, quoted
+
+
+@dataclass(frozen=True)
+class Term:
+    """A weighted number, or a weighted indicator of one level of a text column."""
+
+    column: str
+    weight: float
+    level: str | None = None
+
+    @property
+    def name(self) -> str:
+        return self.column if self.level is None else f"{self.column}_{self.level}"
+
+    @property
+    def sql(self) -> str:
+        """The unweighted value as a double."""
+        column = quoted(self.column)
+        return f"CAST({column if self.level is None else f'({column} <=> {literal(self.level)})'} AS DOUBLE)"
+
+    def contribution(self, value: float | str) -> float:
+        """What the term adds when its column has ``value``."""
+        return self.weight * (value if self.level is None else float(value == self.level))
 
 
 @dataclass(frozen=True)
 class LinearScorer:
-    """``p = 1 / (1 + exp(-z))`` with ``z`` a weighted sum of named SQL terms."""
+    """``p = 1 / (1 + exp(-z))`` with ``z`` the intercept plus the terms."""
 
     name: str
     intercept: float
-    terms: Mapping[str, tuple[str, float]]  # feature -> (SQL over the row, coefficient)
-
-    def values(self) -> dict[str, Column]:
-        return {f: F.expr(sql).cast("double") for f, (sql, _) in self.terms.items()}
-
-    def logit(self, values: Mapping[str, Column] | None = None) -> Column:
-        given = {**self.values(), **(values or {})}
-        z = F.lit(self.intercept)
-        for feature, (_, weight) in self.terms.items():
-            z = z + given[feature] * F.lit(weight)
+    terms: tuple[Term, ...]
+
+    def logit_sql(self, without: str | None = None) -> str:
+        """``z`` as SQL text, on request without the terms of one column."""
+        z = f"{self.intercept!r}D"
+        for term in self.terms:
+            if term.column != without:
+                z = f"({z} + {term.sql} * {term.weight!r}D)"
         return z
 
-    def probability(self, values: Mapping[str, Column] | None = None) -> Column:
-        return F.round(1 / (1 + F.exp(-self.logit(values))), 6)
-
+    def probability_sql(self, logit: str | None = None) -> str:
+        return f"round(1 / (1 + exp(-({logit or self.logit_sql()}))), 6)"
 
-def _is(column: str, level: str) -> str:
-    return f"CAST({column} <=> '{level}' AS INT)"
+    def probability(self) -> Column:
+        return F.expr(self.probability_sql())
 
 
 # The coefficients of the checked scorers.
 MAIN = LinearScorer(
     "main",
     -1.5,
-    {
-        "tenure": ("tenure", -0.03),
-        "MonthlyCharges": ("MonthlyCharges", 0.01),
-        "Contract_Month-to-month": (_is("Contract", "Month-to-month"), 1.25),
-        "Contract_Two year": (_is("Contract", "Two year"), -0.75),
-        "InternetService_Fiber optic": (_is("InternetService", "Fiber optic"), 0.5),
-        "OnlineSecurity_No": (_is("OnlineSecurity", "No"), 0.25),
-        "TechSupport_No": (_is("TechSupport", "No"), 0.2),
-        "PaymentMethod_Electronic check": (_is("PaymentMethod", "Electronic check"), 0.3),
-        "PaperlessBilling_Yes": (_is("PaperlessBilling", "Yes"), 0.15),
-        "SeniorCitizen": ("SeniorCitizen", 0.2),
-        "Partner_Yes": (_is("Partner", "Yes"), -0.1),
-        "StreamingTV_Yes": (_is("StreamingTV", "Yes"), 0.05),
-    },
+    (
+        Term("tenure", -0.03),
+        Term("MonthlyCharges", 0.01),
+        Term("Contract", 1.25, "Month-to-month"),
+        Term("Contract", -0.75, "Two year"),
+        Term("InternetService", 0.5, "Fiber optic"),
+        Term("OnlineSecurity", 0.25, "No"),
+        Term("TechSupport", 0.2, "No"),
+        Term("PaymentMethod", 0.3, "Electronic check"),
+        Term("PaperlessBilling", 0.15, "Yes"),
+        Term("SeniorCitizen", 0.2),
+        Term("Partner", -0.1, "Yes"),
+        Term("StreamingTV", 0.05, "Yes"),
+    ),
 )
-TENURE_ONLY = LinearScorer("tenure", 0.25, {"tenure": ("tenure", -0.04)})
+TENURE_ONLY = LinearScorer("tenure", 0.25, (Term("tenure", -0.04),))
 CONTRACT_ONLY = LinearScorer(
-    "contract",
-    -0.25,
-    {
-        "Contract_Month-to-month": MAIN.terms["Contract_Month-to-month"],
-        "Contract_Two year": MAIN.terms["Contract_Two year"],
-    },
+    "contract", -0.25, (Term("Contract", 1.25, "Month-to-month"), Term("Contract", -0.75, "Two year"))
 )
-CHARGE_ONLY = LinearScorer("charge", -2.0, {"MonthlyCharges": ("MonthlyCharges", 0.025)})
+CHARGE_ONLY = LinearScorer("charge", -2.0, (Term("MonthlyCharges", 0.025),))
 SCORERS = (MAIN, TENURE_ONLY, CONTRACT_ONLY, CHARGE_ONLY)
 
 

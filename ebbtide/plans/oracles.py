@@ -462,7 +462,7 @@ put(
 put(
     "soft_vote",
     "SELECT customerID, " + ", ".join(f"{p} AS p_{n}" for n, p in _MODELS)
-    + f", {r('(' + ' + '.join(p for _, p in _MODELS) + ') / 4')} AS p FROM sub",
+    + f", {r('(' + ' + '.join(p for _, p in _MODELS) + ') / 4', 8)} AS p FROM sub",
 )
 put(
     "confusion_matrix",
@@ -643,8 +643,8 @@ EXPLAIN = (
 )
 put("shap_linear_rows", "SELECT customerID, " + ", ".join(f'{r(phi)} AS "{f}"' for f, phi in _PHI.items()) + " FROM sub, mean", EXPLAIN[0])
 for _name in ("shap_linear", "importance_table", "write_importance"):
-    put(_name, f"SELECT Feature, {r('Importance')} AS Importance FROM imp", *EXPLAIN)
-put("top_features", f"SELECT Feature, {r('Importance')} AS Importance FROM imp ORDER BY imp.Importance DESC, Feature LIMIT 10", *EXPLAIN)
+    put(_name, f"SELECT Feature, {r('Importance', 9)} AS Importance FROM imp", *EXPLAIN)
+put("top_features", f"SELECT Feature, {r('Importance', 9)} AS Importance FROM imp ORDER BY imp.Importance DESC, Feature LIMIT 10", *EXPLAIN)
 
 
 def _dependence(feature: str, grid: str, numeric: bool) -> str:

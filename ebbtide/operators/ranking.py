@@ -8,7 +8,7 @@ fixed upper size.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -144,57 +144,79 @@ def take_exact(df: DataFrame, n: int) -> DataFrame:
     )
 
 
-def lowest_by_hash(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
-    """The ``n`` rows with the smallest seeded hash of ``key``: a repeatable random sample
-    of exact size.
+def _hash_cells(rows: DataFrame, width: int, by: Sequence[str] = ()) -> list:
+    """Row counts of the hash cells of ``1 << width`` values, at most 32,768 per group."""
+    cell = F.shiftright("_h", width).alias("cell")
+    return rows.groupBy(*by, cell).agg(F.count(F.lit(1)).alias("n")).collect()
 
-    The cut-off is narrowed down by counting hash cells (at most 32,768 per pass), so no
-    task ever sorts the whole table. Copies of the key at the cut-off are interchangeable
-    and taken with :func:`take_exact`.
-    """
-    if n <= 0:
-        return df.limit(0)
-    h, total_bits = seeded_number(key, seed), 4 * _HASH_DIGITS
-    keyed = df.select(F.col(key).cast("string").alias("_k"), h.alias("_h"))
-    low, width, below = 0, total_bits, 0
+
+def _crossing(cells: list, wanted: int) -> tuple[int, int, int]:
+    """(cell, rows in it, rows before it) of the cell that holds the ``wanted``-th row."""
+    before = 0
+    for row in sorted(cells, key=lambda r: r["cell"]):
+        if before + row["n"] >= wanted:
+            return row["cell"], row["n"], before
+        before += row["n"]
+    raise ValueError("fewer rows than wanted")
+
+
+def _edge(rows: DataFrame, cells: list, wanted: int) -> tuple[int, str, int, int]:
+    """(hash, key, rows before it, copies of it) of the ``wanted``-th row by (hash, key)."""
+    width, below, low = 4 * _HASH_DIGITS - _CELL_BITS, 0, 0
     while True:
-        width -= _CELL_BITS
-        cells = (
-            keyed.where((F.col("_h") >= low) & (F.col("_h") < low + (1 << (width + _CELL_BITS))))
-            .groupBy(F.shiftright("_h", width).alias("cell"))
-            .agg(F.count(F.lit(1)).alias("n"))
-            .collect()
-        )
-        inside = None
-        for cell in sorted(cells):
-            if below + cell["n"] >= n:
-                inside = cell
-                break
-            below += cell["n"]
-        if inside is None:
-            return df
-        low = inside["cell"] << width
-        if inside["n"] <= _RANK_LIMIT or width == 0:
+        cell, inside, before = _crossing(cells, wanted - below)
+        below, low = below + before, cell << width
+        rows = rows.where(F.col("_h").between(low, low + (1 << width) - 1))
+        if inside <= _RANK_LIMIT or width == 0:
             break
-    cell_rows = keyed.where((F.col("_h") >= low) & (F.col("_h") < low + (1 << width)))
-    # Distinct keys of one cell: few, since copies are counted first.
-    ranked = running_totals(
-        materialise(
-            cell_rows.groupBy("_h", "_k").agg(F.count(F.lit(1)).alias("n")).select(
-                F.struct("_h", "_k").alias("place"), "n"
-            )
-        ),
-        "place",
-        ["n"],
-        descending=False,
-        rows_per_bucket=1 << 62,
-    )
-    need = n - below
-    last = ranked.where(F.col("cum_n") >= need).agg(F.min_by(F.struct("place", "n", "cum_n"), "place")).first()[0]
-    edge_h, edge_k = last["place"]["_h"], last["place"]["_k"]
-    same = (h == edge_h) & F.col(key).cast("string").eqNullSafe(edge_k)
-    before = (h < edge_h) | ((h == edge_h) & (F.col(key).cast("string") < F.lit(edge_k)))
-    if last["cum_n"] == need:
-        return df.where(before | same)
-    wanted = need - (last["cum_n"] - last["n"])
-    return df.where(before).unionByName(take_exact(df.where(same), wanted))
+        width -= _CELL_BITS
+        cells = _hash_cells(rows, width)
+    # Copies are counted first, so few distinct keys remain in a cell.
+    keys = rows.groupBy("_h", "_k").agg(F.count(F.lit(1)).alias("n"))
+    order = Window.orderBy("_h", "_k")
+    ranked = keys.withColumn("upto", F.sum("n").over(order))
+    last = ranked.where(F.col("upto") >= wanted - below).orderBy("_h", "_k").first()
+    return last["_h"], last["_k"], below + last["upto"] - last["n"], last["n"]
+
+
+def lowest_by_hash_per_group(
+    df: DataFrame, key: str, group: str, quotas: Callable[[dict], dict], seed: int = 42
+) -> DataFrame:
+    """From every group the rows with the smallest seeded hash of ``key``: a repeatable
+    random sample of exact size. ``quotas`` turns the group sizes into wanted row counts.
+
+    One pass counts hash cells of all groups, a second looks into the cell at each cut-off,
+    and the result is a single filter: no task ever sorts the table. Copies of a key that
+    only partly fit are interchangeable and taken with :func:`take_exact`.
+    """
+    h, k = seeded_number(key, seed), F.col(key).cast("string")
+    keyed = df.where(F.col(group).isNotNull()).select(F.col(group).alias("_g"), k.alias("_k"), h.alias("_h"))
+    cells: dict = {}
+    for row in _hash_cells(keyed, 4 * _HASH_DIGITS - _CELL_BITS, ["_g"]):
+        cells.setdefault(row["_g"], []).append(row)
+    sizes = {g: sum(row["n"] for row in rows) for g, rows in cells.items()}
+    keep, partial = F.lit(False), []
+    for g, wanted in sorted(quotas(sizes).items()):
+        here = F.col(group) == g
+        if wanted >= sizes[g]:
+            keep = keep | here
+        elif wanted > 0:
+            edge_h, edge_k, before, copies = _edge(keyed.where(F.col("_g") == g), cells[g], wanted)
+            same = (h == edge_h) & k.eqNullSafe(edge_k)
+            # A null key sorts first among equal hashes, as in the ranking.
+            lower = (h < edge_h) | ((h == edge_h) & (k.isNull() if edge_k is None else k.isNull() | (k < edge_k)) & ~same)
+            if before + copies == wanted:
+                keep = keep | (here & (lower | same))
+            else:
+                keep = keep | (here & lower)
+                partial.append((here & same, wanted - before))
+    out = df.where(keep)
+    for copies_of_edge, n in partial:
+        out = out.unionByName(take_exact(df.where(copies_of_edge), n))
+    return out
+
+
+def lowest_by_hash(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
+    """The ``n`` rows with the smallest seeded hash of ``key``."""
+    whole = df.withColumn("_all", F.lit(1))
+    return lowest_by_hash_per_group(whole, key, "_all", lambda sizes: {g: n for g in sizes}, seed).drop("_all")

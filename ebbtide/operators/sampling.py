@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ebbtide.operators.ranking import lowest_by_hash, seeded_digest
+from ebbtide.operators.ranking import lowest_by_hash_per_group, seeded_digest
 from ebbtide.schema import ID, TARGET
 
 TEST_SIZE, SEED = 0.2, 42  # fixed values of the training run
@@ -36,33 +36,24 @@ def class_counts(df: DataFrame, target: str = TARGET) -> DataFrame:
     return df.where(F.col(target).isNotNull()).groupBy(target).agg(F.count(F.lit(1)).alias("n"))
 
 
-def _counts(df: DataFrame, target: str) -> dict:
-    return {row[target]: row["n"] for row in class_counts(df, target).collect()}
-
-
 def stratified_test_exact(
     df: DataFrame, key: str = ID, target: str = TARGET, test_size: float = TEST_SIZE, seed: int = SEED
 ) -> DataFrame:
     """The test part with an exact count per class: the rows with the lowest key hash."""
-    parts = None
-    for label, n in sorted(_counts(df, target).items()):
-        part = lowest_by_hash(df.where(F.col(target) == label), key, math.floor(n * test_size + 0.5), seed)
-        parts = part if parts is None else parts.unionByName(part)
-    return df.limit(0) if parts is None else parts
+
+    def shares(sizes: dict) -> dict:
+        return {label: math.floor(n * test_size + 0.5) for label, n in sizes.items()}
+
+    return lowest_by_hash_per_group(df, key, target, shares, seed)
 
 
 def undersample(df: DataFrame, key: str = ID, target: str = TARGET, seed: int = SEED) -> DataFrame:
     """Every class cut to the size of the smallest one, rows chosen by key hash."""
-    counts = _counts(df, target)
-    if not counts:
-        return df
-    smallest = min(counts.values())
-    parts = None
-    for label, n in sorted(counts.items()):
-        rows = df.where(F.col(target) == label)
-        part = rows if n == smallest else lowest_by_hash(rows, key, smallest, seed)
-        parts = part if parts is None else parts.unionByName(part)
-    return parts
+
+    def smallest(sizes: dict) -> dict:
+        return {label: min(sizes.values()) for label in sizes}
+
+    return lowest_by_hash_per_group(df, key, target, smallest, seed)
 
 
 def class_weights(df: DataFrame, target: str = TARGET) -> DataFrame:

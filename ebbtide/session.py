@@ -34,7 +34,7 @@ def shared_folder(spark: SparkSession) -> str:
     removed when the process ends. On a cluster the setting is required.
     """
     global _local_folder
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")

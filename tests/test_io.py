@@ -86,6 +86,10 @@ def test_cluster_needs_a_shared_folder(spark, monkeypatch):
         class sparkContext:
             master, applicationId = "spark://somewhere", "app"
 
+            @staticmethod
+            def getCheckpointDir():
+                return None
+
         class conf:
             @staticmethod
             def get(key, default):

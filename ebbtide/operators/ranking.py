@@ -19,8 +19,8 @@ from ebbtide.session import materialise
 ROWS_PER_BUCKET = 1_000_000
 MAX_BUCKETS = 4096
 
-_HASH_DIGITS = 15  # 60 bits, so the value fits a signed 64-bit integer
-_CELL_BITS = 15
+_DIGITS = 32  # of a digest
+_CELL_DIGITS = 4  # 65,536 cells per level
 _RANK_LIMIT = 100_000
 
 
@@ -112,12 +112,6 @@ def seeded_digest(key: str | Column, seed: int = 42) -> Column:
     return F.md5(F.concat_ws("|", c.cast("string"), F.lit(str(seed))))
 
 
-def seeded_number(key: str | Column, seed: int = 42) -> Column:
-    """First 60 bits of :func:`seeded_digest` as a number."""
-    head = F.substring(seeded_digest(key, seed), 1, _HASH_DIGITS)
-    return F.conv(head, 16, 10).cast("bigint")
-
-
 def take_exact(df: DataFrame, n: int) -> DataFrame:
     """Any ``n`` rows of ``df``, without ordering them and without a shuffle of the rows.
 
@@ -144,13 +138,18 @@ def take_exact(df: DataFrame, n: int) -> DataFrame:
     )
 
 
-def _hash_cells(rows: DataFrame, width: int, by: Sequence[str] = ()) -> list:
-    """Row counts of the hash cells of ``1 << width`` values, at most 32,768 per group."""
-    cell = F.shiftright("_h", width).alias("cell")
-    return rows.groupBy(*by, cell).agg(F.count(F.lit(1)).alias("n")).collect()
+def _place(key: str, seed: int) -> Column:
+    """Text that sorts rows by digest, then key. One expression, so that a filter on it
+    computes the digest once per row."""
+    return F.concat(seeded_digest(key, seed), F.lit("|"), F.coalesce(F.col(key).cast("string"), F.lit("")))
+
+
+def _cells(rows: DataFrame, digits: int, by: Sequence[str] = ()) -> list:
+    """Row counts per leading digits of the digest, at most 65,536 lines per group."""
+    return rows.groupBy(*by, F.substring("_at", 1, digits).alias("cell")).agg(F.count(F.lit(1)).alias("n")).collect()
 
 
-def _crossing(cells: list, wanted: int) -> tuple[int, int, int]:
+def _crossing(cells: list, wanted: int) -> tuple[str, int, int]:
     """(cell, rows in it, rows before it) of the cell that holds the ``wanted``-th row."""
     before = 0
     for row in sorted(cells, key=lambda r: r["cell"]):
@@ -160,23 +159,22 @@ def _crossing(cells: list, wanted: int) -> tuple[int, int, int]:
     raise ValueError("fewer rows than wanted")
 
 
-def _edge(rows: DataFrame, cells: list, wanted: int) -> tuple[int, str, int, int]:
-    """(hash, key, rows before it, copies of it) of the ``wanted``-th row by (hash, key)."""
-    width, below, low = 4 * _HASH_DIGITS - _CELL_BITS, 0, 0
+def _edge(rows: DataFrame, cells: list, wanted: int) -> tuple[str, int, int]:
+    """(place, rows before it, copies of it) of the ``wanted``-th row."""
+    digits, below = _CELL_DIGITS, 0
     while True:
         cell, inside, before = _crossing(cells, wanted - below)
-        below, low = below + before, cell << width
-        rows = rows.where(F.col("_h").between(low, low + (1 << width) - 1))
-        if inside <= _RANK_LIMIT or width == 0:
+        below += before
+        rows = rows.where(F.col("_at").startswith(cell))
+        if inside <= _RANK_LIMIT or digits == _DIGITS:
             break
-        width -= _CELL_BITS
-        cells = _hash_cells(rows, width)
+        digits += _CELL_DIGITS
+        cells = _cells(rows, digits)
     # Copies are counted first, so few distinct keys remain in a cell.
-    keys = rows.groupBy("_h", "_k").agg(F.count(F.lit(1)).alias("n"))
-    order = Window.orderBy("_h", "_k")
-    ranked = keys.withColumn("upto", F.sum("n").over(order))
-    last = ranked.where(F.col("upto") >= wanted - below).orderBy("_h", "_k").first()
-    return last["_h"], last["_k"], below + last["upto"] - last["n"], last["n"]
+    keys = rows.groupBy("_at").agg(F.count(F.lit(1)).alias("n"))
+    ranked = keys.withColumn("upto", F.sum("n").over(Window.orderBy("_at")))
+    last = ranked.where(F.col("upto") >= wanted - below).orderBy("_at").first()
+    return last["_at"], below + last["upto"] - last["n"], last["n"]
 
 
 def lowest_by_hash_per_group(
@@ -189,10 +187,10 @@ def lowest_by_hash_per_group(
     and the result is a single filter: no task ever sorts the table. Copies of a key that
     only partly fit are interchangeable and taken with :func:`take_exact`.
     """
-    h, k = seeded_number(key, seed), F.col(key).cast("string")
-    keyed = df.where(F.col(group).isNotNull()).select(F.col(group).alias("_g"), k.alias("_k"), h.alias("_h"))
+    at = _place(key, seed)
+    keyed = df.where(F.col(group).isNotNull()).select(F.col(group).alias("_g"), at.alias("_at"))
     cells: dict = {}
-    for row in _hash_cells(keyed, 4 * _HASH_DIGITS - _CELL_BITS, ["_g"]):
+    for row in _cells(keyed, _CELL_DIGITS, ["_g"]):
         cells.setdefault(row["_g"], []).append(row)
     sizes = {g: sum(row["n"] for row in rows) for g, rows in cells.items()}
     keep, partial = F.lit(False), []
@@ -201,15 +199,12 @@ def lowest_by_hash_per_group(
         if wanted >= sizes[g]:
             keep = keep | here
         elif wanted > 0:
-            edge_h, edge_k, before, copies = _edge(keyed.where(F.col("_g") == g), cells[g], wanted)
-            same = (h == edge_h) & k.eqNullSafe(edge_k)
-            # A null key sorts first among equal hashes, as in the ranking.
-            lower = (h < edge_h) | ((h == edge_h) & (k.isNull() if edge_k is None else k.isNull() | (k < edge_k)) & ~same)
+            edge, before, copies = _edge(keyed.where(F.col("_g") == g), cells[g], wanted)
             if before + copies == wanted:
-                keep = keep | (here & (lower | same))
+                keep = keep | (here & (at <= edge))
             else:
-                keep = keep | (here & lower)
-                partial.append((here & same, wanted - before))
+                keep = keep | (here & (at < edge))
+                partial.append((here & (at == edge), wanted - before))
     out = df.where(keep)
     for copies_of_edge, n in partial:
         out = out.unionByName(take_exact(df.where(copies_of_edge), n))

@@ -52,7 +52,7 @@ def test_approximate_median_is_close(spark):
 @pytest.mark.parametrize("n", [0, 1, 250, 999, 1000, 1200])
 def test_lowest_by_hash_takes_the_lowest(spark, n):
     df = spark.range(1000).select(F.col("id").cast("string").alias("id"))
-    keyed = [(r["h"], r["id"]) for r in df.select("id", ranking.seeded_number("id").alias("h")).collect()]
+    keyed = [(r["h"], r["id"]) for r in df.select("id", ranking.seeded_digest("id").alias("h")).collect()]
     want = {i for _, i in sorted(keyed)[:n]}
     assert {r["id"] for r in ranking.lowest_by_hash(df, "id", n).collect()} == want
 
@@ -60,7 +60,7 @@ def test_lowest_by_hash_takes_the_lowest(spark, n):
 def test_lowest_by_hash_narrows_crowded_cells(spark, monkeypatch):
     monkeypatch.setattr(ranking, "_RANK_LIMIT", 0)
     df = spark.range(300).select(F.col("id").cast("string").alias("id"))
-    keyed = [(r["h"], r["id"]) for r in df.select("id", ranking.seeded_number("id").alias("h")).collect()]
+    keyed = [(r["h"], r["id"]) for r in df.select("id", ranking.seeded_digest("id").alias("h")).collect()]
     assert {r["id"] for r in ranking.lowest_by_hash(df, "id", 77).collect()} == {i for _, i in sorted(keyed)[:77]}
 
 

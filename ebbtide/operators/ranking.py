@@ -144,9 +144,9 @@ def _place(key: str, seed: int) -> Column:
     return F.concat(seeded_digest(key, seed), F.lit("|"), F.coalesce(F.col(key).cast("string"), F.lit("")))
 
 
-def _cells(rows: DataFrame, digits: int, by: Sequence[str] = ()) -> list:
+def _cells(keys: DataFrame, digits: int, by: Sequence[str] = ()) -> list:
     """Row counts per leading digits of the digest, at most 65,536 lines per group."""
-    return rows.groupBy(*by, F.substring("_at", 1, digits).alias("cell")).agg(F.count(F.lit(1)).alias("n")).collect()
+    return keys.groupBy(*by, F.substring("_at", 1, digits).alias("cell")).agg(F.sum("_n").alias("n")).collect()
 
 
 def _crossing(cells: list, wanted: int) -> tuple[str, int, int]:
@@ -161,20 +161,18 @@ def _crossing(cells: list, wanted: int) -> tuple[str, int, int]:
 
 def _edge(rows: DataFrame, cells: list, wanted: int) -> tuple[str, int, int]:
     """(place, rows before it, copies of it) of the ``wanted``-th row."""
-    digits, below = _CELL_DIGITS, 0
-    while True:
-        cell, inside, before = _crossing(cells, wanted - below)
-        below += before
-        rows = rows.where(F.col("_at").startswith(cell))
-        if inside <= _RANK_LIMIT or digits == _DIGITS:
-            break
-        digits += _CELL_DIGITS
-        cells = _cells(rows, digits)
-    # Copies are counted first, so few distinct keys remain in a cell.
-    keys = rows.groupBy("_at").agg(F.count(F.lit(1)).alias("n"))
-    ranked = keys.withColumn("upto", F.sum("n").over(Window.orderBy("_at")))
+    cell, inside, below = _crossing(cells, wanted)
+    # Copies are counted before anything else: about one key in 65,536 is left.
+    keys = rows.where(F.col("_at").startswith(cell)).groupBy("_at").agg(F.sum("_n").alias("_n"))
+    if inside > _RANK_LIMIT:
+        keys, digits = materialise(keys), _CELL_DIGITS
+        while digits < _DIGITS and keys.count() > _RANK_LIMIT:
+            digits += _CELL_DIGITS
+            cell, _, before = _crossing(_cells(keys, digits), wanted - below)
+            keys, below = keys.where(F.col("_at").startswith(cell)), below + before
+    ranked = keys.withColumn("upto", F.sum("_n").over(Window.orderBy("_at")))
     last = ranked.where(F.col("upto") >= wanted - below).orderBy("_at").first()
-    return last["_at"], below + last["upto"] - last["n"], last["n"]
+    return last["_at"], below + last["upto"] - last["_n"], last["_n"]
 
 
 def lowest_by_hash_per_group(
@@ -188,7 +186,7 @@ def lowest_by_hash_per_group(
     only partly fit are interchangeable and taken with :func:`take_exact`.
     """
     at = _place(key, seed)
-    keyed = df.where(F.col(group).isNotNull()).select(F.col(group).alias("_g"), at.alias("_at"))
+    keyed = df.where(F.col(group).isNotNull()).select(F.col(group).alias("_g"), at.alias("_at"), F.lit(1).alias("_n"))
     cells: dict = {}
     for row in _cells(keyed, _CELL_DIGITS, ["_g"]):
         cells.setdefault(row["_g"], []).append(row)

@@ -13,12 +13,13 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ebbtide.functions import features
 from ebbtide.operators.cleaning import fit_scaler, scaled_expressions
 from ebbtide.operators.ranking import exact_median
 from ebbtide.operators.sampling import with_weights
-from ebbtide.schema import NUMERIC, quoted
+from ebbtide.schema import CUSTOMER, ID, NUMERIC, TARGET, quoted
 
 _SEED = 42
 TREES = ROUNDS = 200  # fixed values of the training run
@@ -26,16 +27,30 @@ TREES = ROUNDS = 200  # fixed values of the training run
 
 # --- preprocessing ------------------------------------------------------------------------
 
-# One reading of the raw columns for training and for scoring: charges as numbers (with the
-# default when none is recorded) and the senior flag as text, whatever its source type.
+# One reading of the raw columns for training and for scoring: numbers as numbers (total
+# charges with the default when none is recorded) and the senior flag as text, whatever
+# the type of the source.
 _TYPED = (
-    "SELECT * EXCEPT (TotalCharges, SeniorCitizen), "
-    "coalesce(try_cast(TotalCharges AS DOUBLE), MonthlyCharges * tenure) AS TotalCharges, "
+    "SELECT * EXCEPT (tenure, MonthlyCharges, TotalCharges, SeniorCitizen), "
+    "try_cast(tenure AS DOUBLE) AS tenure, try_cast(MonthlyCharges AS DOUBLE) AS MonthlyCharges, "
+    "coalesce(try_cast(TotalCharges AS DOUBLE), try_cast(MonthlyCharges AS DOUBLE) * try_cast(tenure AS DOUBLE)) "
+    "AS TotalCharges, "
     "CASE WHEN CAST(SeniorCitizen AS STRING) IN ('1', 'Yes') THEN 'Yes' "
     "WHEN CAST(SeniorCitizen AS STRING) IN ('0', 'No') THEN 'No' END AS SeniorCitizen FROM __THIS__"
 )
 
 
+def conform(df: DataFrame) -> DataFrame:
+    """Add the customer columns a scoring input lacks: 0 for a number, null for text (no
+    level applies)."""
+    absent = [f for f in CUSTOMER.fields if f.name not in df.columns and f.name not in (ID, TARGET, "TotalCharges")]
+    number = {f.name: not isinstance(f.dataType, T.StringType) for f in absent}
+    added = {c: F.lit(0) if is_number else F.lit(None).cast("string") for c, is_number in number.items()}
+    if "TotalCharges" not in df.columns:
+        added["TotalCharges"] = F.lit(None).cast("string")
+    return df.withColumns(added) if added else df
+
+
 def _stage(columns: Mapping[str, str]) -> SQLTransformer:
     listed = ", ".join(f"{sql} AS {quoted(name)}" for name, sql in columns.items())
     return SQLTransformer(statement=f"SELECT *, {listed} FROM __THIS__")

@@ -42,24 +42,28 @@ def score_batch(df: DataFrame, threshold: float = 0.5, scorer: LinearScorer = MA
     return prediction_table(df.withColumn("_p", scorer.probability()), "_p", threshold)
 
 
-def score_records(requests: DataFrame, threshold: float = 0.5, scorer: LinearScorer = MAIN) -> DataFrame:
-    """Validate and score request records in one pass.
+def record_table(checked: DataFrame, probability: Column, threshold: float = 0.5) -> DataFrame:
+    """customer_id, error, churn_probability, will_churn, risk_level of validated records.
 
-    A record that fails validation keeps its message in ``error`` and has no score.
+    A record that failed validation keeps its message in ``error`` and has no score.
     """
-    checked = split_valid(requests, strict=False)
-    typed = checked.withColumns(
-        {
-            "tenure": number("tenure"),
-            "MonthlyCharges": number("MonthlyCharges"),
-            "SeniorCitizen": F.coalesce(F.col("SeniorCitizen").try_cast("int"), F.lit(0)),
-        }
-    )
-    p = F.when(F.col("error").isNull(), scorer.probability())
-    return typed.withColumn("churn_probability", p).select(
+    scored = checked.withColumn("churn_probability", F.when(F.col("error").isNull(), probability))
+    return scored.select(
         "customer_id",
         "error",
         "churn_probability",
         (F.col("churn_probability") >= threshold).alias("will_churn"),
         risk_level("churn_probability").alias("risk_level"),
     )
+
+
+def score_records(requests: DataFrame, threshold: float = 0.5, scorer: LinearScorer = MAIN) -> DataFrame:
+    """Validate and score request records with the linear scorer, in one pass."""
+    typed = split_valid(requests, strict=False).withColumns(
+        {
+            "tenure": number("tenure"),
+            "MonthlyCharges": number("MonthlyCharges"),
+            "SeniorCitizen": F.coalesce(F.col("SeniorCitizen").try_cast("int"), F.lit(0)),
+        }
+    )
+    return record_table(typed, scorer.probability(), threshold)

@@ -509,6 +509,14 @@ def save_load_bundle(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(load_bundle(spark, path).score(subscribers(spark, folder), mode="f1"))
 
 
+@query("score_records_bundle")
+def score_records_bundle(spark: SparkSession, folder: str) -> DataFrame:
+    """Request records validated and scored by a fitted model."""
+    run = training_run(spark, folder)
+    made = Bundle(run.preprocessing, (run.model("logistic"),), {})
+    return rounded(made.score_records(requests(spark, folder)))
+
+
 @query("oversample_smote")
 def oversample_smote(spark: SparkSession, folder: str) -> DataFrame:
     """Class sizes of the training part before and after."""

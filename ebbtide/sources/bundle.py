@@ -10,8 +10,9 @@ from pyspark.ml import Model, PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.operators.models import churn_probability
-from ebbtide.operators.scoring import DEFAULT_THRESHOLDS, choose_threshold, prediction_table
+from ebbtide.operators.models import churn_probability, conform
+from ebbtide.operators.scoring import DEFAULT_THRESHOLDS, choose_threshold, prediction_table, record_table
+from ebbtide.operators.validation import split_valid
 
 
 @dataclass(frozen=True)
@@ -20,15 +21,22 @@ class Bundle:
     classifiers: tuple[Model, ...]  # more than one: their mean probability counts
     thresholds: Mapping[str, float]
 
-    def score(self, customers: DataFrame, mode: str = "default") -> DataFrame:
-        """Batch scoring: read columns, encode, score and band in one narrow pass."""
-        frame = self.preprocessing.transform(customers)
+    def _with_probability(self, customers: DataFrame) -> DataFrame:
+        frame = self.preprocessing.transform(conform(customers))
         names = [f"_p{i}" for i in range(len(self.classifiers))]
         for name, model in zip(names, self.classifiers):
             frame = churn_probability(frame, model, name)
         total = sum((F.col(n) for n in names[1:]), F.col(names[0]))
-        frame = frame.withColumn("_p", total / len(names))
-        return prediction_table(frame, "_p", choose_threshold(self.thresholds, mode))
+        return frame.withColumn("_p", total / len(names))
+
+    def score(self, customers: DataFrame, mode: str = "default") -> DataFrame:
+        """Batch scoring: read columns, encode, score and band in one narrow pass."""
+        return prediction_table(self._with_probability(customers), "_p", choose_threshold(self.thresholds, mode))
+
+    def score_records(self, requests: DataFrame, mode: str = "default") -> DataFrame:
+        """Validate and score request records, batch or stream, in the same pass."""
+        frame = self._with_probability(split_valid(requests, strict=False))
+        return record_table(frame, F.col("_p"), choose_threshold(self.thresholds, mode))
 
 
 def save_bundle(spark: SparkSession, bundle: Bundle, path: str) -> None:

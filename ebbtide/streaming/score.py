@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ebbtide.operators.linear import MAIN, LinearScorer
 from ebbtide.operators.scoring import score_records
 from ebbtide.schema import REQUEST
 
@@ -20,16 +21,16 @@ def score_stream(
     source: str,
     target: str,
     checkpoint: str,
-    threshold: float = 0.5,
-    scorer: LinearScorer = MAIN,
+    score: Callable[[DataFrame], DataFrame] = score_records,
     until_done: bool = True,
 ) -> StreamingQuery:
     """Validate and score every record once and append it to ``target``.
 
-    The plan is that of the batch operator and keeps no state. Progress is kept in
-    ``checkpoint``, so a restarted stream goes on where it stopped.
+    ``score`` is a batch operator: the linear scorer, or ``Bundle.score_records`` of a saved
+    model. It keeps no state. Progress is kept in ``checkpoint``, so a restarted stream goes
+    on where it stopped.
     """
-    scored = score_records(request_stream(spark, source), threshold, scorer)
+    scored = score(request_stream(spark, source))
     writer = scored.writeStream.format("parquet").option("checkpointLocation", checkpoint).outputMode("append")
     writer = writer.trigger(availableNow=True) if until_done else writer.trigger(processingTime="10 seconds")
     return writer.start(target)

@@ -1,5 +1,7 @@
 """Fitted models: preprocessing, probabilities, selection, explanation invariants."""
 
+import uuid
+
 import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -9,7 +11,8 @@ from ebbtide.operators import attribution, models, sampling
 from ebbtide.plans import training
 from ebbtide.plans.queries import clean, scratch
 from ebbtide.sources.bundle import Bundle, load_bundle, save_bundle
-from ebbtide.sources.tables import subscribers
+from ebbtide.sources.tables import requests, subscribers
+from ebbtide.streaming.score import score_stream
 
 
 @pytest.fixture(scope="module")
@@ -71,6 +74,25 @@ def test_bundle_scores_raw_rows_like_the_run(spark, folder, run):
     assert "customerID" not in loaded.score(subscribers(spark, folder).drop("customerID")).columns
 
 
+def test_bundle_scores_records_in_batch_and_stream(spark, folder, run):
+    made = Bundle(run.preprocessing, (run.model("logistic"),), {})
+    place, sent = scratch(spark, f"records_{uuid.uuid4().hex}"), requests(spark, folder)
+    sent.write.json(f"{place}/in")
+    score_stream(spark, f"{place}/in", f"{place}/out", f"{place}/checkpoint", made.score_records).awaitTermination()
+    batch = made.score_records(sent)
+    assert sorted(map(str, spark.read.parquet(f"{place}/out").collect())) == sorted(map(str, batch.collect()))
+    assert batch.where(F.col("error").isNull() == F.col("churn_probability").isNull()).count() == 0
+    whole = {r["customerID"]: r["churn_probability"] for r in made.score(subscribers(spark, folder)).collect()}
+    same = batch.where("error IS NULL AND customer_id <> 'Unknown'").collect()
+    assert sum(abs(r["churn_probability"] - whole[r["customer_id"]]) < 1e-12 for r in same) > 100
+
+
+def test_bundle_accepts_missing_columns(spark, folder, run):
+    made = Bundle(run.preprocessing, (run.model("logistic"),), {})
+    few = subscribers(spark, folder).select("customerID", "tenure", "MonthlyCharges", "Contract")
+    assert made.score(few).where("churn_probability BETWEEN 0 AND 1").count() == 150
+
+
 def test_importance_needs_trees(spark, run):
     assert models.feature_importance(spark, run.model("logistic")) is None
     table = models.feature_importance(spark, run.model("random_forest"))

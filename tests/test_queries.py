@@ -27,7 +27,7 @@ def test_queries_without_sql_are_the_fitted_ones():
     assert {n for n in QUERIES if n not in SQL} == {
         "fit_logistic", "fit_random_forest", "fit_gbt_weighted", "fit_gbt_leafwise", "fit_gbt_symmetric", "fit_gbt",
         "train_and_select", "feature_importance", "save_load_bundle", "fit_segments", "segment_centers",
-        "shap_sampled", "permutation_importance",
+        "shap_sampled", "permutation_importance", "score_records_bundle",
     }
 
 

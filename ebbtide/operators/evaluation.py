@@ -185,6 +185,20 @@ def best_business_threshold(
     return argmax_threshold(business_sweep(df, value_saved, cost, by), "net_benefit", by)
 
 
+def best_thresholds(
+    df: DataFrame, value_saved: float = VALUE_SAVED, cost: float = RETENTION_COST
+) -> dict[str, float]:
+    """The stored thresholds of a model, both fitted ones from one sweep of the scores."""
+    net = F.col("tp") * value_saved - (F.col("tp") + F.col("fp")) * cost
+    swept = simple_metrics(threshold_counts(df)).withColumn("net_benefit", net)
+    first = -F.col("position")
+    row = swept.agg(
+        F.max_by("threshold", F.struct("f1_score", first)).alias("f1_threshold"),
+        F.max_by("threshold", F.struct("net_benefit", first)).alias("business_threshold"),
+    ).first()
+    return {"default": 0.5, **row.asDict()}
+
+
 # --- curves ---------------------------------------------------------------------------
 
 

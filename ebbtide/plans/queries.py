@@ -224,12 +224,9 @@ simple("risk_level", lambda d: _with_score(d).select(ID, "p", bands.risk_level("
 
 @query("apply_threshold")
 def apply_threshold(spark: SparkSession, folder: str) -> DataFrame:
-    """Decisions under the three threshold modes, the two fitted ones found by the sweeps."""
+    """Decisions under the three threshold modes, the two fitted ones found by one sweep."""
     frame = _scored(spark, folder)
-    thresholds = {
-        "f1_threshold": evaluation.best_f1_threshold(frame).first()["threshold"],
-        "business_threshold": evaluation.best_business_threshold(frame).first()["threshold"],
-    }
+    thresholds = evaluation.best_thresholds(frame)
     modes = ("default", "f1", "business")
     return frame.select(
         ID,

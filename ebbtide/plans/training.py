@@ -94,10 +94,5 @@ def train_and_select(run: TrainingRun) -> Selection:
     run.fit_all()
     metrics = materialise(run.metrics())
     best = evaluation.select_best_model(metrics).first()["model"]
-    frame = materialise(run.scores((best,)).select(F.col(f"p_{best}").alias("p"), "y"))
-    thresholds = {
-        "default": 0.5,
-        "f1_threshold": evaluation.best_f1_threshold(frame).first()["threshold"],
-        "business_threshold": evaluation.best_business_threshold(frame).first()["threshold"],
-    }
-    return Selection(best, metrics, thresholds)
+    frame = run.scores((best,)).select(F.col(f"p_{best}").alias("p"), "y")
+    return Selection(best, metrics, evaluation.best_thresholds(frame))

@@ -75,6 +75,16 @@ def test_first_best_threshold_wins(spark):
     assert (money["threshold"], money["net_benefit"]) == (0.1, 900.0)
 
 
+def test_both_thresholds_from_one_sweep(spark, pairs):
+    df = frame(spark, pairs)
+    found = ev.best_thresholds(df)
+    assert found == {
+        "default": 0.5,
+        "f1_threshold": ev.best_f1_threshold(df).first()["threshold"],
+        "business_threshold": ev.best_business_threshold(df).first()["threshold"],
+    }
+
+
 def test_labels_of_one_class(spark):
     row = ev.evaluate_model(frame(spark, [(0.2, 0), (0.8, 0)])).first()
     assert (row["precision"], row["recall"], row["f1_score"], row["roc_auc"], row["avg_precision"]) == (0, 0, 0, None, None)

@@ -5,8 +5,9 @@ import pytest
 import __spark_entry__ as entry
 from compare import database, difference, spark_table, sql_table
 
-SQL = entry.oracle_sql()
-QUERIES = entry.queries()
+# The corpus operators have tests of their own, in tests/llm.
+QUERIES = entry.QUERIES
+SQL = {name: sql for name, sql in entry.oracle_sql().items() if name in QUERIES}
 
 
 @pytest.fixture(scope="module")

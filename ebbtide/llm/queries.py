@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ebbtide.llm.grammar import op7_repair_token_files
 from ebbtide.llm.packing import op10_best_fit_packing
 from ebbtide.llm.sharding import op8_contiguous_shards
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op7_repair_token_files": op7_repair_token_files,
     "op8_contiguous_shards": op8_contiguous_shards,
     "op10_best_fit_packing": op10_best_fit_packing,
 }

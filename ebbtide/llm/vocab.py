@@ -14,8 +14,10 @@ import re
 CACHE_WORDS = 1_400_000
 CACHE_BYTES = 48
 
-#: White space of any definition other than a plain space or newline, and runs of white space.
-_UNUSUAL = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0  -     　]|[ \n]{2}|\\A[ \n]|[ \n]\\Z")
+#: Code points that count as white space under some definition, but for space and newline.
+_EXOTIC = "".join(map(chr, [9, 11, 12, 13, *range(0x1C, 0x20), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
+#: Such characters, runs of white space, and white space at either end of a text.
+_UNUSUAL = re.compile(rf"[{_EXOTIC}]|[ \n]{{2}}|\A[ \n]|[ \n]\Z")
 #: From one black character followed by plain white space to the next.
 _PIECES = re.compile(r"\s*\S+(?:[^\S \t\n\r]\s*\S*)*|\s+")
 #: Marks that form a piece of their own after an ASCII letter.

@@ -36,6 +36,7 @@ FIRST_RULE = 50_257
 MOST_RULES = (1 << 16) - FIRST_RULE
 _ROUND_RULES = 4096
 _LEAST_COUNT = 12
+_LEAST_GAIN = 0.04
 _SLOTS = 18
 
 _BLOCKS = pa.schema([
@@ -53,9 +54,11 @@ def compress(tokens: np.ndarray, end_id: int = END_ID) -> tuple[np.ndarray, np.n
     """Symbols (uint16) and rules (n x 2, uint16) whose expansion is ``tokens``."""
     seq, rules = tokens.astype(np.uint16), [np.zeros((0, 2), np.uint16)]
     count = 0
+    closing = np.zeros(1 << 16, bool)  # symbols whose last token ends a document
+    closing[end_id] = True
     while count < MOST_RULES and len(seq) > 1:
         keys = (seq[:-1].astype(np.uint32) << np.uint32(16)) | seq[1:]
-        ordered = np.sort(keys[seq[:-1] != end_id])
+        ordered = np.sort(keys[~closing[seq[:-1]]])
         edge = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1]))) if len(ordered) else np.zeros(0, np.int64)
         many = np.diff(np.append(edge, len(ordered)))
         frequent = np.flatnonzero(many >= _LEAST_COUNT)
@@ -75,6 +78,7 @@ def compress(tokens: np.ndarray, end_id: int = END_ID) -> tuple[np.ndarray, np.n
         # Neighbouring occurrences overlap: every second one of a row of neighbours is taken.
         row = np.maximum.accumulate(np.where(np.diff(at, prepend=-2) > 1, np.arange(len(at)), 0))
         at = at[(np.arange(len(at)) - row) % 2 == 0]
+        closing[FIRST_RULE + count : FIRST_RULE + count + len(chosen)] = closing[chosen & np.uint32(0xFFFF)]
         rules.append(np.stack([chosen >> np.uint32(16), chosen & np.uint32(0xFFFF)], axis=1).astype(np.uint16))
         new = seq.copy()
         new[at] = FIRST_RULE + count + found[at]
@@ -83,7 +87,7 @@ def compress(tokens: np.ndarray, end_id: int = END_ID) -> tuple[np.ndarray, np.n
         count += len(chosen)
         gain = len(at) / len(seq)
         seq = new[keep]
-        if gain < 0.02:
+        if gain < _LEAST_GAIN:
             break
     return seq, np.concatenate(rules)
 
@@ -108,28 +112,33 @@ class Block:
         self.doc_ids = [None if gone else int(d) for d, gone in zip(np.frombuffer(row["doc_ids"], "<i8"), nulls, strict=True)]
         self.doc_symbols = np.append(np.frombuffer(row["doc_symbols"], "<u4"), len(self.symbols)).astype(np.int64)
         self.doc_tokens = np.append(np.frombuffer(row["doc_tokens"], "<u4"), row["n_tokens"]).astype(np.int64)
-        self._bytes: dict[int, bytes] = {}
-
-    def _expand(self, symbol: int) -> bytes:
-        """Token ids behind a symbol; rules only use symbols that came before them."""
-        if (found := self._bytes.get(symbol)) is None:
-            if symbol < FIRST_RULE:
-                found = symbol.to_bytes(4, "little")
-            else:
-                a, b = self.rules[symbol - FIRST_RULE].tolist()
-                found = self._expand(a) + self._expand(b)
-            self._bytes[symbol] = found
-        return found
+        self._flat: np.ndarray | None = None
+
+    def _rules_in_full(self) -> None:
+        """Ids of all rules in a row, by replacing rules with their pairs until none is left."""
+        ids = np.arange(FIRST_RULE, FIRST_RULE + len(self.rules), dtype=np.int64)
+        while (again := ids >= FIRST_RULE).any():
+            width = 1 + again.astype(np.int64)
+            at = (np.cumsum(width) - width)[again]
+            pairs = self.rules[ids[again] - FIRST_RULE]
+            ids = np.repeat(ids, width)
+            ids[at], ids[at + 1] = pairs[:, 0], pairs[:, 1]
+        own = self.lengths[FIRST_RULE:]
+        self._flat = np.concatenate((np.arange(FIRST_RULE), ids)).astype("<u4")
+        self._begin = np.concatenate((np.arange(FIRST_RULE), FIRST_RULE + np.cumsum(own) - own))
 
     def _bytes_of(self, first: int, last: int) -> bytes:
-        symbols = self.symbols[first:last].tolist()
-        for s in set(symbols):
-            self._expand(s)
-        return b"".join(map(self._bytes.__getitem__, symbols))
-
-    def document(self, i: int) -> bytes:
-        """Ids of the i-th document of the block."""
-        return self._bytes_of(self.doc_symbols[i], self.doc_symbols[i + 1])
+        """Ids behind the symbols ``first`` to ``last``."""
+        if self._flat is None:
+            self._rules_in_full()
+        symbols = self.symbols[first:last]
+        width = self.lengths[symbols]
+        shift = self._begin[symbols] - (np.cumsum(width) - width)
+        return self._flat[np.repeat(shift, width) + np.arange(int(width.sum()))].tobytes()
+
+    def document(self, i: int, n: int = 1) -> bytes:
+        """Ids of the i-th document of the block, or of ``n`` documents from there on."""
+        return self._bytes_of(self.doc_symbols[i], self.doc_symbols[i + n])
 
     def tokens(self, start: int, stop: int) -> bytes:
         """Ids ``start`` to ``stop`` of the block, expanding only the symbols that hold them."""
@@ -203,7 +212,8 @@ def read_ids(spark: SparkSession, target: str, keep_ids: bool = True) -> DataFra
         for b in batches:
             for row in b.to_pylist():
                 block = Block(row)
-                ids = [block.document(i) for i in range(len(block.doc_ids))]
+                whole, ends = block.document(0, len(block.doc_ids)), 4 * block.doc_tokens
+                ids = [whole[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
                 n = len(ids)
                 values = (
                     pa.array(block.doc_ids, pa.int64()),

@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ebbtide.session import materialise  # noqa: F401  (the operators take it from here)
 
@@ -120,3 +121,16 @@ def word_hash(text: str) -> int:
 
 def batch(columns: dict[str, object], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], type=f.type) for f in schema], schema=schema)
+
+
+#: Rows of a key table that may be sent to every executor; a row is a few numbers.
+BROADCAST_ROWS = 500_000
+
+
+def narrow(big: DataFrame, keys: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
+    """Join ``big`` with a written table of a few numbers per row.
+
+    Counted first: up to ``BROADCAST_ROWS`` rows are sent to every executor, so ``big`` need not
+    be shuffled; beyond that it is an ordinary join, whose skewed keys Spark splits.
+    """
+    return big.join(F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys, on, how)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ebbtide.llm.chat import OP9_SQL, op9_maximal_conversations
 from ebbtide.llm.grammar import op7_repair_token_files
+from ebbtide.llm.jaccard import op6_ngram_jaccard_join
 from ebbtide.llm.packing import op10_best_fit_packing
 from ebbtide.llm.quality import op5_random_indexing_quality
 from ebbtide.llm.sharding import op8_contiguous_shards
@@ -18,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_trie_token_counts": op1_trie_token_counts,
     "op2_subspace_near_vectors": op2_subspace_near_vectors,
     "op5_random_indexing_quality": op5_random_indexing_quality,
+    "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
     "op7_repair_token_files": op7_repair_token_files,
     "op8_contiguous_shards": op8_contiguous_shards,
     "op9_maximal_conversations": op9_maximal_conversations,

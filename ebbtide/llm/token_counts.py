@@ -20,8 +20,9 @@ from ebbtide.llm.common import chunks, table, texts_of
 from ebbtide.llm.vocab import CACHE_BYTES, CACHE_WORDS, default_path
 
 SPACE = "▁"
-#: Fixed point of a cost, and where the count stands above the sum of the costs.
-UNIT, COUNT = 1 << 10, 1 << 48
+#: Fixed point of a cost. Within a word the cost stands above the count, so that the least value
+#: is the least cost with the fewest tokens; over a text the count stands above the cost.
+UNIT, STEP, COUNT = 1 << 10, 1 << 28, 1 << 48
 #: Bytes of text whose new words are learned together, and new words that share one trie.
 TRIE_BYTES = 1 << 21
 TRIE_WORDS = 100_000
@@ -47,27 +48,28 @@ class Unigram:
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         names = [(i, model.id_to_piece(i)) for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))]
         shift = math.log(sum(1 / (r + 2.7) for r in range(len(names))))
-        self.cost = {name: round(UNIT * (math.log(r + 2.7) + shift)) + COUNT for r, (_, name) in enumerate(names)}
+        cost = {name: round(UNIT * (math.log(r + 2.7) + shift)) * STEP + 1 for r, (_, name) in enumerate(names)}
         #: A character outside the vocabulary costs its bytes, each as dear as the rarest piece.
-        self.byte = max(self.cost.values())
-        self.longest = max(map(len, self.cost))
+        self.byte = max(cost.values())
+        self.longest = max(map(len, cost))
+        #: Value of every piece, and 0 for what only ends pieces: beyond these no piece ends here.
+        self.ends = {name[k:]: 0 for name in cost for k in range(len(name))} | cost
         self.known = _Known(self.word)
 
     def step(self, path: str, best: list[int]) -> int:
-        """Packed least value for ``path`` from those of its prefixes: cost first, count second."""
-        n, get = len(path), self.cost.get
-        found = None
-        for k in range(max(0, n - self.longest), n):
-            if (cost := get(path[k:])) is not None:
-                value = best[k] + cost
-                key = (value % COUNT, value)
-                if found is None or key < found:
-                    found = key
-        if found is None or path[-1] not in self.cost:
-            value = best[n - 1] + self.byte * len(path[-1].encode())
-            if found is None or (value % COUNT, value) < found:
-                found = (value % COUNT, value)
-        return found[1]
+        """Least value for ``path`` from those of its prefixes."""
+        ends, n = self.ends.get, len(path)
+        found = 0
+        for k in range(n - 1, -1, -1):
+            value = ends(path[k:])
+            if value is None:
+                break
+            if value and (not found or best[k] + value < found):
+                found = best[k] + value
+        if not ends(path[-1]):
+            unknown = best[n - 1] + self.byte * len(path[-1].encode())
+            found = min(found, unknown) if found else unknown
+        return found
 
     def word(self, word: bytes) -> int:
         """Without a trie, for one word."""
@@ -76,7 +78,7 @@ class Unigram:
             # Only the last characters matter; a long word is not copied again for each of them.
             low = max(0, i + 1 - self.longest)
             best.append(self.step(text[low : i + 1], best[low:]))
-        return best[-1]
+        return best[-1] % STEP * COUNT + best[-1] // STEP
 
     def learn(self, words: list[bytes]) -> None:
         """Insert ``words`` in a trie and store the value of each terminal node."""
@@ -98,7 +100,7 @@ class Unigram:
                 if c:
                     stack.append((depth + 1, c, child))
                 else:
-                    self.known[child] = best[-1]
+                    self.known[child] = best[-1] % STEP * COUNT + best[-1] // STEP
 
     def count(self, texts: list[bytes]) -> Iterator[tuple[int, int, int]]:
         """Words, tokens and cost of each text."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -134,3 +135,9 @@ def narrow(big: DataFrame, keys: DataFrame, on: str | list[str], how: str = "inn
     be shuffled; beyond that it is an ordinary join, whose skewed keys Spark splits.
     """
     return big.join(F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys, on, how)
+
+
+def drop_finished(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished jobs now, not at the driver's next collection."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

@@ -1,6 +1,6 @@
 """Benchmark decontamination: passages as queries against a BM25 index of the test items.
 
-The index holds a block of ``INDEX_ITEMS`` items at a time, so its size is bounded whatever the
+The index holds a block of at most ``INDEX_ITEMS`` items, or ``INDEX_BYTES`` of text, at a time, so its size is bounded whatever the
 benchmark; documents pass by each block. An item's BM25 weights are divided by the score that
 its own text gets, so one threshold serves all items. Items lie in groups; the largest weight of
 a term in each group bounds the score of all its items. A passage is a window of twice the
@@ -24,11 +24,12 @@ from pyspark.sql import functions as F
 from ebbtide.llm.common import hashed, materialise, narrow, table, texts_of, windows
 
 K1, B = 1.2, 0.75
+#: Thresholds: share of an item's own score, of its question's n-grams, of its answer's n-grams.
 SCORE, QUESTION, ANSWER = 0.6, 0.6, 0.6
 GRAM = 4
 #: Shorter items are no evidence: their words stand together by chance.
 LEAST_WORDS = 8
-INDEX_ITEMS, GROUP = 512, 16
+INDEX_ITEMS, INDEX_BYTES, GROUP = 512, 1 << 18, 8
 ANSWER_SHARE = 0.25
 
 #: Letters and digits make words; marks around them do not count.
@@ -41,8 +42,7 @@ class Index:
     ids: list[int]
     terms: np.ndarray  # sorted hashes
     bounds: np.ndarray  # terms x groups: largest weight of the group's items
-    rows: list[np.ndarray]  # per item: its terms
-    weights: list[np.ndarray]
+    weights: np.ndarray  # terms x items
     question: list[np.ndarray]  # per item: distinct n-grams
     answer: list[np.ndarray]
     longest: int
@@ -57,18 +57,16 @@ def build_index(items: list[tuple[int, bytes]]) -> Index | None:
     terms, found = np.unique(np.concatenate([np.unique(w) for _, w in kept]), return_counts=True)
     idf = np.log(1 + (len(kept) - found + 0.5) / (found + 0.5))
     mean = np.mean([len(w) for _, w in kept])
-    index = Index([i for i, _ in kept], terms, np.zeros((len(terms), -(-len(kept) // GROUP)), np.float32), [], [], [], [], max(len(w) for _, w in kept))
+    index = Index([i for i, _ in kept], terms, None, np.zeros((len(terms), len(kept)), np.float32), [], [], max(len(w) for _, w in kept))
     for k, (_, w) in enumerate(kept):
         own, tf = np.unique(w, return_counts=True)
         row = np.searchsorted(terms, own)
         weight = idf[row] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(w) / mean))
-        weight /= weight.sum()
-        index.rows.append(row)
-        index.weights.append(weight)
-        index.bounds[row, k // GROUP] = np.maximum(index.bounds[row, k // GROUP], weight.astype(np.float32) + np.float32(1e-6))
+        index.weights[row, k] = weight / weight.sum()
         cut = len(w) - max(GRAM, int(len(w) * ANSWER_SHARE))
         index.question.append(np.unique(windows(w[: cut + GRAM - 1], GRAM)))
         index.answer.append(np.unique(windows(w[cut:], GRAM)))
+    index.bounds = np.maximum.reduceat(index.weights, np.arange(0, len(kept), GROUP), axis=1)
     return index
 
 
@@ -102,10 +100,8 @@ def _search(words: np.ndarray, offsets: np.ndarray, index: Index) -> Iterator[tu
             d = int(np.searchsorted(base, number, side="right") - 1)
             start = offsets[d] + (number - base[d]) * step
             grams = None
-            for k in range(g * GROUP, min((g + 1) * GROUP, len(index.ids))):
-                score = index.weights[k][np.isin(index.rows[k], present, assume_unique=True)].sum()
-                if score < SCORE:
-                    continue
+            scores = index.weights[present, g * GROUP : (g + 1) * GROUP].sum(axis=0)
+            for k, score in ((g * GROUP + j, scores[j]) for j in np.flatnonzero(scores >= SCORE)):
                 if grams is None:
                     grams = np.unique(windows(words[start : min(start + 2 * step, offsets[d + 1])], GRAM))
                 overlap = [float(np.isin(x[k], grams, assume_unique=True).mean()) for x in (index.question, index.answer)]
@@ -137,11 +133,13 @@ def _passages(index: Index):
 
 def _blocks(items: DataFrame) -> Iterator[list[tuple[int, bytes]]]:
     block: list[tuple[int, bytes]] = []
+    size = 0
     for r in items.select(F.col("item_id").cast("long"), F.col("text").cast("string")).orderBy("item_id").toLocalIterator():
         block.append((r[0], (r[1] or "").encode()))
-        if len(block) == INDEX_ITEMS:
+        size += len(block[-1][1])
+        if len(block) == INDEX_ITEMS or size >= INDEX_BYTES:
             yield block
-            block = []
+            block, size = [], 0
     if block:
         yield block
 

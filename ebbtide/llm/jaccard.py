@@ -1,14 +1,14 @@
 """N-gram Jaccard join: every pair of documents whose shingle sets overlap enough.
 
 1. One pass gives each document its set size, a class for equal sets, a bitmap signature with one
-   bit of parity per hash cell, four minhash keys, and the corpus a table of shingle counts of
+   bit of parity per hash cell, six minhash keys, and the corpus a table of shingle counts of
    fixed size.
-2. Documents are tied to the smallest class that shares a minhash key; those ties that hold
-   exactly join most copies into components early on.
+2. Classes are tied to the class with the most copies, and to the smallest, among those that
+   share a minhash key; ties that hold exactly join most near copies into components early on.
 3. For completeness, each class is filed under the rarest of its shingles, enough of them that
    two linked classes share one. A shingle's classes in order of size form a tile, in which a
-   class meets only those within the size band. Pairs that already lie in one component are
-   left out: they cannot change the result.
+   class meets only those within the size band, and where enough members follow in both. Pairs
+   that already lie in one component are left out: they cannot change the result.
 4. Pairs are checked by their signatures first: the bits that differ bound the overlap from
    above. What is left is intersected exactly, as sorted arrays.
 
@@ -30,7 +30,7 @@ from ebbtide.llm.graph import components
 
 WORDS, PERCENT = 5, 75
 COUNT_BITS = 19
-BANDS, BAND_ROWS = 4, 3
+BANDS, BAND_ROWS = 6, 2
 #: Filed shingles that one task compares; the number of tasks follows from the corpus.
 TASK_ENTRIES = 400_000
 _SEEDS = np.random.default_rng(5).integers(1, 1 << 62, BANDS * BAND_ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -173,10 +173,10 @@ def _file(counts: np.ndarray, buckets: int, words: int, percent: int):
             order = np.argsort(bucket, kind="stable")
             cut = np.searchsorted(bucket[order], np.arange(buckets + 1))
             full = [np.repeat(np.array([x[k] for x in held], np.int64), size)[order] for k in (1, 2, 3)]
-            token = token[order]
+            token, place = token[order], np.concatenate([np.arange(k, dtype=np.int32) for k in size])[order]
             some = [k for k in range(buckets) if cut[k] < cut[k + 1]]
-            arrays = [pa.array([x[cut[k] : cut[k + 1]].tobytes() for k in some], pa.binary()) for x in (token, full[0].astype(np.int32), full[1], full[2])]
-            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), *arrays], names=["bucket", "tokens", "sizes", "classes", "components"])
+            arrays = [pa.array([x[cut[k] : cut[k + 1]].tobytes() for k in some], pa.binary()) for x in (token, place, full[0].astype(np.int32), full[1], full[2])]
+            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), *arrays], names=["bucket", "tokens", "places", "sizes", "classes", "components"])
 
     return file
 
@@ -185,18 +185,24 @@ def _tiles(percent: int):
     """Pairs that meet in a tile of one bucket: same shingle, sizes within the band, not yet joined."""
 
     def meet(group: pa.Table) -> pa.Table:
-        token, size, own, comp = (
+        token, place, size, own, comp = (
             np.concatenate([np.frombuffer(x, t) for x in group.column(c).to_pylist()])
-            for c, t in (("tokens", np.uint64), ("sizes", np.int32), ("classes", np.int64), ("components", np.int64))
+            for c, t in (("tokens", np.uint64), ("places", np.int32), ("sizes", np.int32), ("classes", np.int64), ("components", np.int64))
         )
         order = np.lexsort((own, size, token))
-        token, size, own, comp = token[order], size[order], own[order], comp[order]
+        token, size, own, comp = token[order], size[order].astype(np.int64), own[order], comp[order]
+        # In the first tile where two classes meet, all they share lies from their places there on.
+        after = size - place[order]
+
+        def can(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+            return (comp[i] != comp[j]) & ((100 + percent) * np.minimum(after[i], after[j]) >= percent * (size[i] + size[j]))
+
         first = np.concatenate(([True], token[1:] != token[:-1]))
         run = np.cumsum(first) - 1
         begin = np.flatnonzero(first)
         # Only tiles whose members are not all in one component can add a pair.
         mixed = np.maximum.reduceat(comp, begin) != np.minimum.reduceat(comp, begin)
-        left, right = [], []
+        left, right, held = [], [], 0
         length = np.diff(np.append(begin, len(token)))
         small = mixed[run] & (length[run] <= 64)
         i = np.flatnonzero(small)
@@ -204,8 +210,8 @@ def _tiles(percent: int):
         while len(i):
             i = i[i + step < len(token)]
             i = i[run[i + step] == run[i]]
-            i = i[100 * size[i].astype(np.int64) >= percent * size[i + step].astype(np.int64)]
-            apart = i[comp[i] != comp[i + step]]
+            i = i[100 * size[i] >= percent * size[i + step]]
+            apart = i[can(i, i + step)]
             left.append(own[apart])
             right.append(own[apart + step])
             step += 1
@@ -215,17 +221,29 @@ def _tiles(percent: int):
             main = values[np.argmax(many)]
             # Everything that is not in the largest component meets everything that is.
             for s in rows[comp[rows] != main]:
-                band = rows[(100 * np.minimum(size[rows], size[s]).astype(np.int64) >= percent * np.maximum(size[rows], size[s]).astype(np.int64)) & (comp[rows] != comp[s])]
+                band = rows[(100 * np.minimum(size[rows], size[s]) >= percent * np.maximum(size[rows], size[s])) & can(rows, np.full(len(rows), s))]
                 band = band[(band > s) | (comp[band] == main)]
                 left.append(np.full(len(band), own[s]))
                 right.append(own[band])
-        a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (left, right))
-        pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
-        return pa.table({"a": pa.array(pairs[0]), "b": pa.array(pairs[1])})
+                held += len(band)
+                if held > 1_000_000:  # the same pairs meet in many tiles
+                    left, right, held = *([x] for x in _distinct(left, right)), 0
+        a, b = _distinct(left, right)
+        return pa.table({"a": pa.array(a), "b": pa.array(b)})
 
     return meet
 
 
+def _distinct(left: list[np.ndarray], right: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (left, right))
+    a, b = np.minimum(a, b), np.maximum(a, b)
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    new = np.ones(len(a), bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    return a[new], b[new]
+
+
 def jaccard_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, class, component_id.
 
@@ -241,13 +259,15 @@ def jaccard_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     rows = sheet.where("slice IS NULL")
     counts = sums.total(sheet.where("slice IS NOT NULL").select("slice", "cells"), 1 << COUNT_BITS).astype(np.int32)
     classes = rows.where("class IS NOT NULL").groupBy("class").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("keys").alias("keys")
+        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("keys").alias("keys"),
+        F.count(F.lit(1)).alias("copies"),
     )
     classes = materialise(classes)
 
-    keyed = classes.select("class", F.explode("keys").alias("key"))
-    leaders = keyed.groupBy("key").agg(F.min("class").alias("b"), F.count(F.lit(1)).alias("many")).where("many > 1")
-    ties = keyed.join(leaders, "key").where("class != b").select(F.col("class").alias("a"), "b").distinct()
+    keyed = classes.select("class", "copies", F.explode("keys").alias("key"))
+    most = F.max(F.struct("copies", "class"))["class"]
+    leaders = keyed.groupBy("key").agg(F.array_distinct(F.array(most, F.min("class"))).alias("leaders"), F.count(F.lit(1)).alias("many")).where("many > 1")
+    ties = keyed.join(leaders, "key").select(F.col("class").alias("a"), F.explode("leaders").alias("b")).where("a != b").distinct()
     early = verified(materialise(ties), classes, docs, words, percent)
     joined = components(early).withColumnRenamed("id", "class")
 
@@ -256,7 +276,7 @@ def jaccard_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     members = classes.agg(F.sum("n")).first()[0] or 0
     buckets = max(8, -(-members * (100 - percent) // (100 * TASK_ENTRIES)))
     entries = narrow(docs, named, "doc_id").select("text", "class", "component")
-    filed = entries.mapInArrow(_file(counts, buckets, words, percent), "bucket int, tokens binary, sizes binary, classes binary, components binary")
+    filed = entries.mapInArrow(_file(counts, buckets, words, percent), "bucket int, tokens binary, places binary, sizes binary, classes binary, components binary")
     pairs = materialise(filed.groupBy("bucket").applyInArrow(_tiles(percent), "a long, b long").distinct())
     late = verified(pairs, classes, docs, words, percent)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 from collections.abc import Iterator
 
 import numpy as np
@@ -139,5 +140,7 @@ def narrow(big: DataFrame, keys: DataFrame, on: str | list[str], how: str = "inn
 
 def drop_finished(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of finished jobs now, not at the driver's next collection."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):  # the first round frees what Python held, the second what that held in the JVM
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)

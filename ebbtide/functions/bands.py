@@ -36,7 +36,9 @@ def total_charges_or_default() -> Column:
 
 
 def risk_level(probability: str | Column) -> Column:
+    """Band of a probability; none where it is null or NaN."""
     p = F.col(probability) if isinstance(probability, str) else probability
+    p = F.nanvl(p, F.lit(None).cast("double"))
     return F.when(p > HIGH_RISK, "High").when(p > MEDIUM_RISK, "Medium").when(p.isNotNull(), "Low")
 
 

@@ -117,9 +117,8 @@ def take_exact(df: DataFrame, n: int) -> DataFrame:
 
     Meant for rows that are interchangeable, such as copies of one customer.
     """
-    # The written table fixes the split of rows into partitions, so positions repeat.
-    stored = materialise(df)
-    place = stored.withColumn("_place", F.monotonically_increasing_id())
+    # Positions are written with the rows: a later job may split the table in another way.
+    place = materialise(df.withColumn("_place", F.monotonically_increasing_id()))
     part, offset = F.shiftright("_place", 33), F.col("_place").bitwiseAND((1 << 33) - 1)
     sizes = place.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_size")).collect()
     quota, left = [], n

@@ -103,3 +103,17 @@ def test_weights_of_a_single_class(spark):
     df = spark.createDataFrame([(0,), (0,)], "Churn int")
     rows = {r["scheme"]: (r["weight_0"], r["weight_1"]) for r in sampling.class_weights(df).collect()}
     assert rows == {"scale_pos": (1.0, 2.0), "total_pos": (1.0, 2.0), "balanced": (0.5, None)}
+
+
+def test_exact_take_when_the_table_is_split_anew(spark):
+    conf = {"spark.sql.files.openCostInBytes": "1", "spark.sql.leafNodeDefaultParallelism": "3"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        taken = ranking.take_exact(spark.range(0, 30_000, 1, 5).toDF("v"), 7_000)
+        spark.conf.set("spark.sql.leafNodeDefaultParallelism", "23")
+        assert taken.count() == 7_000
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

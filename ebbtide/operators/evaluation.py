@@ -31,10 +31,29 @@ def f1(tp: Column, fp: Column, fn: Column) -> Column:
     return ratio(2 * tp, 2 * tp + fp + fn)
 
 
+def _known(column: str) -> Column:
+    return F.nanvl(F.col(column).cast("double"), F.lit(None).cast("double")).isNotNull()
+
+
+def evaluation_frame(df: DataFrame) -> DataFrame:
+    """Rows that have a score and a label. A null or NaN in either leaves a row out of every
+    figure of this module; ``unscored_counts`` says how many those are."""
+    return df.where(_known("p") & _known("y"))
+
+
+def unscored_counts(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Rows per group, and those without a score or without a label."""
+    return df.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(~_known("p")).alias("without_score"),
+        F.count_if(~_known("y")).alias("without_label"),
+    )
+
+
 def confusion_counts(df: DataFrame, threshold: float = 0.5, by: Sequence[str] = ()) -> DataFrame:
     """tp, fp, fn, tn in one row per group."""
     flag, real = F.col("p") >= threshold, F.col("y") == 1
-    return df.groupBy(*by).agg(
+    return evaluation_frame(df).groupBy(*by).agg(
         F.count_if(flag & real).alias("tp"),
         F.count_if(flag & ~real).alias("fp"),
         F.count_if(~flag & real).alias("fn"),
@@ -111,7 +130,7 @@ def threshold_counts(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     running sums then cover at most 102 lines per group.
     """
     by = list(by)
-    cells = df.groupBy(*by, thresholds_reached(F.col("p")).cast("int").alias("cell")).agg(
+    cells = evaluation_frame(df).groupBy(*by, thresholds_reached(F.col("p")).cast("int").alias("cell")).agg(
         F.count_if(F.col("y") == 1).alias("pos"), F.count_if(F.col("y") == 0).alias("neg")
     )
     # One array per group holds the 102 cells, so thresholds without rows appear too.
@@ -206,7 +225,7 @@ def score_counts(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Positives and negatives per distinct score, written once. All curve work starts
     here; the evaluation frame itself is read a single time."""
     return materialise(
-        df.groupBy(*by, "p").agg(
+        evaluation_frame(df).groupBy(*by, "p").agg(
             F.count_if(F.col("y") == 1).alias("pos"), F.count_if(F.col("y") == 0).alias("neg")
         )
     )

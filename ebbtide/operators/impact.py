@@ -11,6 +11,7 @@ from ebbtide.operators.evaluation import (
     RETENTION_COST,
     VALUE_SAVED,
     confusion_counts,
+    evaluation_frame,
     ratio,
     simple_metrics,
 )
@@ -67,7 +68,8 @@ def annual_value(df: DataFrame, threshold: float = 0.5) -> DataFrame:
 def predicted_vs_actual(df: DataFrame, period: str = "period", threshold: float = 0.5) -> DataFrame:
     """Predicted and actual churners per period, with the error."""
     counts = (
-        df.where(F.col(period).isNotNull())
+        evaluation_frame(df)
+        .where(F.col(period).isNotNull())
         .groupBy(period)
         .agg(F.count_if(F.col("p") >= threshold).alias("predicted"), F.sum("y").alias("actual"))
     )

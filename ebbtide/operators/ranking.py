@@ -40,6 +40,8 @@ def running_totals(
     as well: the value of ``s`` at the following key (null at the last one).
     """
     by = list(by)
+    # One rule at every size: a key without a place in the order is left out.
+    counts = counts.where(F.nanvl(F.col(key).cast("double"), F.lit(None).cast("double")).isNotNull())
     buckets = min(MAX_BUCKETS, math.ceil(counts.count() / rows_per_bucket))
     order = F.col(key).desc() if descending else F.col(key).asc()
     if buckets > 1:

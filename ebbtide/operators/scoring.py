@@ -24,14 +24,14 @@ def choose_threshold(thresholds: Mapping[str, float], mode: str = "default") ->
 
 def apply_threshold(probability: str | Column, threshold: float) -> Column:
     p = F.col(probability) if isinstance(probability, str) else probability
-    return (p >= threshold).cast("int")
+    return (F.nanvl(p, F.lit(None).cast("double")) >= threshold).cast("int")
 
 
 def prediction_table(df: DataFrame, probability: str, threshold: float = 0.5) -> DataFrame:
     """customerID (when present), churn_probability, predicted_churn, risk_level."""
     return df.select(
         *[c for c in (ID,) if c in df.columns],
-        F.col(probability).alias("churn_probability"),
+        F.nanvl(F.col(probability), F.lit(None).cast("double")).alias("churn_probability"),
         apply_threshold(probability, threshold).alias("predicted_churn"),
         risk_level(probability).alias("risk_level"),
     )

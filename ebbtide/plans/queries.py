@@ -64,7 +64,8 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/roundtrip/{name}"
+    """A folder of its own for every call: an earlier result stays readable."""
+    return f"{shared_folder(spark)}/roundtrip/{name}-{uuid.uuid4().hex}"
 
 
 def clean(spark: SparkSession, folder: str) -> DataFrame:

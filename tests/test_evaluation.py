@@ -5,6 +5,7 @@ import random
 import pytest
 
 from ebbtide.operators import evaluation as ev
+from ebbtide.operators import scoring
 
 
 def frame(spark, pairs):
@@ -113,3 +114,22 @@ def test_grouped_evaluation_equals_single(spark, pairs):
     for c in ev.METRICS:
         assert rows["m"][c] == pytest.approx(alone[c])
     assert rows["n"]["roc_auc"] == pytest.approx(1 - alone["roc_auc"])
+
+
+@pytest.mark.parametrize("size", [2, 1_000_000])
+def test_rows_without_score_or_label_change_nothing(spark, size):
+    good = [(0.1, 0), (0.3, 1), (0.5, 0), (0.7, 1), (0.9, 1)]
+    clean = frame(spark, good)
+    gaps = frame(spark, [*good, (None, 1), (None, 0), (float("nan"), 1), (float("nan"), 0), (0.6, None)])
+    for f in (ev.confusion_counts, ev.threshold_sweep, ev.business_sweep, ev.evaluate_model, ev.best_f1_threshold):
+        assert sorted(f(gaps).collect()) == sorted(f(clean).collect())
+    for f in (ev.roc_curve, ev.pr_curve, ev.area_metrics):
+        assert set(f(gaps, rows_per_bucket=size).collect()) == set(f(clean, rows_per_bucket=size).collect())
+    assert 0 <= ev.evaluate_model(gaps).first()["roc_auc"] <= 1
+    assert tuple(ev.unscored_counts(gaps).first()) == (10, 4, 1)
+
+
+def test_no_prediction_without_a_probability(spark):
+    rows = spark.createDataFrame([(0.8,), (None,), (float("nan"),)], "p double")
+    got = [tuple(r) for r in scoring.prediction_table(rows, "p", 0.5).collect()]
+    assert got == [(0.8, 1, "High"), (None, None, None), (None, None, None)]

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import ebbtide.session as session
+from ebbtide.plans.queries import QUERIES
 from ebbtide.operators.scoring import score_records
 from ebbtide.plans.queries import scratch
 from ebbtide.sources import bundle, files
@@ -99,3 +100,9 @@ def test_cluster_needs_a_shared_folder(spark, monkeypatch):
         session.shared_folder(Elsewhere)
     monkeypatch.setattr(Elsewhere.conf, "get", staticmethod(lambda key, default: "hdfs://x/cp/"))
     assert session.shared_folder(Elsewhere) == "hdfs://x/cp/ebbtide/app"
+
+
+def test_earlier_round_trip_stays_readable(spark, folder):
+    first = QUERIES["scan_customers"](spark, folder)
+    second = QUERIES["scan_customers"](spark, folder)
+    assert second.count() == first.count() > 0

@@ -145,8 +145,9 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int,
     near = materialise(pairs.join(one, "a").join(two, "b").select("a", "b", "na", "nb", "bits_a", "bits_b").mapInArrow(_possible(percent), "a long, b long"))
     wanted = near.select(F.explode(F.array("a", "b")).alias("class")).distinct()
     wanted = materialise(wanted.join(classes.select("class", "doc_id"), "class"))
-    # One text for each class, whatever the number of rows with its doc_id.
-    texts = narrow(docs, wanted, "doc_id").groupBy("class").agg(F.first("text").alias("text"))
+    # One text for each class, whatever the number of rows with its doc_id. Written, so that both
+    # joins read shuffled tables, whose hot keys (a leader of many classes) Spark splits.
+    texts = materialise(narrow(docs, wanted, "doc_id").groupBy("class").agg(F.first("text").alias("text")))
     both = near.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
     return materialise(both.select("a", "b", "text_a", "text_b").mapInArrow(_exact(words, percent), "a long, b long"))
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ebbtide.llm.common import materialise, table
+from ebbtide.llm.common import materialise, narrow, table
 from ebbtide.llm.graph import components
 
 BLOCK_DIMS = 8
@@ -145,11 +145,13 @@ def near_vectors(vectors: DataFrame, least: float = 0.93) -> DataFrame:
         _cells(least), f"class long, label {label}, copies long, vector array<double>, dims int, block int, cell int, home boolean"
     )
     key = ["label", "dims", "block", "cell"]
-    crowded = cells.groupBy(*key).agg(F.count(F.lit(1)).alias("n_")).where(F.col("n_") > CELL_ROWS)
+    crowded = materialise(cells.groupBy(*key).agg(F.count(F.lit(1)).alias("n_")).where(F.col("n_") > CELL_ROWS))
     parts = F.coalesce(F.ceil(F.col("n_") / CELL_ROWS), F.lit(1)).cast("int")
-    cut = cells.join(crowded, key, "left").withColumn("parts_", parts).withColumn("part", F.pmod(F.xxhash64("class"), F.col("parts_")).cast("int"))
+    cut = narrow(cells, crowded, key, "left").withColumn("parts_", parts).withColumn("part", F.pmod(F.xxhash64("class"), F.col("parts_")).cast("int"))
     cut = cut.withColumn("other_", F.explode(F.sequence(F.lit(0), F.col("parts_") - 1)))
     pairs = cut.withColumn("part_a", F.least("part", "other_")).withColumn("part_b", F.greatest("part", "other_")).drop("n_", "parts_", "other_")
+    # Dealt by the parts too: a partitioning by the cell alone would satisfy the grouping, with all parts of a cell in one task.
+    pairs = pairs.repartition(*key, "part_a", "part_b")
     found = materialise(pairs.groupBy(*key, "part_a", "part_b").applyInArrow(_compare(least), "class long, links long, other long"))
 
     per_class = found.groupBy("class").agg(F.sum("links").alias("links"))

@@ -34,10 +34,11 @@ class TrainingRun:
             self.fitted[name] = models.FITTERS[name](self.balanced)
         return self.fitted[name]
 
-    def fit_all(self, at_once: int = 6) -> None:
-        """Fit what is missing, a few models at a time: their small stages overlap."""
+    def fit_all(self, names: tuple[str, ...] = MODELS, at_once: int = 6) -> None:
+        """Fit what is missing of ``names``, a few models at a time: their small stages overlap."""
+        wanted = [m for m in models.FITTERS if m in names or ("vote" in names and m in models.VOTERS)]
         with ThreadPoolExecutor(at_once) as pool:
-            list(pool.map(self.model, models.FITTERS))
+            list(pool.map(self.model, wanted))
 
     def scores(self, names: tuple[str, ...], frame: DataFrame | None = None) -> DataFrame:
         """key, label and one column ``p_<model>`` each, in one pass over the rows."""
@@ -89,10 +90,10 @@ class Selection:
     thresholds: dict[str, float]
 
 
-def train_and_select(run: TrainingRun) -> Selection:
-    """Fit all candidates, keep the best by F1 and find its two thresholds."""
-    run.fit_all()
-    metrics = materialise(run.metrics())
+def train_and_select(run: TrainingRun, names: tuple[str, ...] = MODELS) -> Selection:
+    """Fit the candidates, keep the best by F1 and find its two thresholds."""
+    run.fit_all(names)
+    metrics = materialise(run.metrics(names))
     best = evaluation.select_best_model(metrics).first()["model"]
     frame = run.scores((best,)).select(F.col(f"p_{best}").alias("p"), "y")
     return Selection(best, metrics, evaluation.best_thresholds(frame))

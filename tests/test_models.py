@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from ebbtide.functions.features import MODEL_COLUMNS
 from ebbtide.operators import attribution, models, sampling
-from ebbtide.plans import training
+from ebbtide.plans import jobs, training
 from ebbtide.plans.queries import clean, scratch
+from ebbtide.sources import files
 from ebbtide.sources.bundle import Bundle, load_bundle, save_bundle
 from ebbtide.sources.tables import requests, subscribers
 from ebbtide.streaming.score import score_stream
@@ -74,6 +75,28 @@ def test_bundle_scores_raw_rows_like_the_run(spark, folder, run):
     assert "customerID" not in loaded.score(subscribers(spark, folder).drop("customerID")).columns
 
 
+def test_saved_run_scores_a_file(spark, folder, run):
+    chosen, place = training.train_and_select(run), scratch(spark, "job_test")
+    jobs.save_run(run, chosen, clean(spark, folder), place, explained=3, background=4)
+    files.write_csv(subscribers(spark, folder), f"{place}/csv")
+    for mode in ("f1", "business"):
+        out = jobs.score(spark, f"{place}/csv", place, f"{place}/out_{mode}", mode=mode)
+        assert out.count() == 150
+        limit = chosen.thresholds[f"{mode}_threshold"]
+        assert out.where((F.col("churn_probability") >= limit) != (F.col("predicted_churn") == 1)).count() == 0
+    assert files.read_metrics(spark, f"{place}/metrics").first()["f1_score"] == pytest.approx(
+        chosen.metrics.where(F.col("model") == chosen.name).first()["f1_score"]
+    )
+    assert files.read_importance(spark, f"{place}/importance").count() == 46
+    assert files.read_segments(spark, f"{place}/segments").agg(F.sum("Count")).first()[0] == run.train.count()
+    assert spark.read.parquet(f"{place}/contributions").select("row").distinct().count() == 3
+
+
+def test_vote_is_explained_by_its_members(run):
+    table = {r["Feature"]: r["Importance"] for r in jobs.importance(run, "vote").collect()}
+    assert set(table) == set(MODEL_COLUMNS) and sum(table.values()) == pytest.approx(1)
+
+
 def test_bundle_scores_records_in_batch_and_stream(spark, folder, run):
     made = Bundle(run.preprocessing, (run.model("logistic"),), {})
     place, sent = scratch(spark, f"records_{uuid.uuid4().hex}"), requests(spark, folder)

@@ -38,6 +38,11 @@ def chunks(texts: list[bytes], limit: int = CHUNK) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
+def keyed(df: DataFrame) -> DataFrame:
+    """Every row of ``df`` as ``doc``, with a key of its own as ``row``; written, so the keys stay."""
+    return materialise(df.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("doc")))
+
+
 # --- hashes of all runs of a buffer, without a loop over words --------------------------
 
 _rng = np.random.default_rng(20240229)

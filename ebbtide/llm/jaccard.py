@@ -12,7 +12,9 @@
 4. Pairs are checked by their signatures first: the bits that differ bound the overlap from
    above. What is left is intersected exactly, as sorted arrays.
 
-Set members are 64-bit hashes of the shingles, and classes 64-bit hashes of the sets.
+Set members are 64-bit hashes of the shingles, and classes 64-bit hashes of the sets. Every row has
+a written key, and a class fetches its text by the key of one of its rows: doc_id may be null, or
+stand for several texts.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ebbtide.llm import sums
-from ebbtide.llm.common import hashed, materialise, mix, narrow, table, texts_of, windows
+from ebbtide.llm.common import hashed, keyed, materialise, mix, narrow, table, texts_of, windows
 from ebbtide.llm.graph import components
 
 WORDS, PERCENT = 5, 75
@@ -81,24 +83,29 @@ def enough(shared: int, a: int, b: int, percent: int = PERCENT) -> bool:
     return 100 * shared >= percent * (a + b - shared)
 
 
-_SHEET = "doc_id long, n long, class long, keys array<long>, bits binary, slice int, cells binary"
+_SHEET = "row long, doc_id long, n long, class long, keys array<long>, bits binary, slice int, cells binary"
+
+
+def _first():
+    """The first row: by doc_id, nulls last, then by key."""
+    return F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row"))
 
 
 def _describe(words: int):
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << COUNT_BITS, np.int64)
-        names = ["doc_id", "n", "class", "keys", "bits", "slice", "cells"]
-        types = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.int32(), pa.binary()]
+        names = ["row", "doc_id", "n", "class", "keys", "bits", "slice", "cells"]
+        types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.int32(), pa.binary()]
         for b in batches:
             rows: list[tuple] = []
-            for members in shingles(texts_of(b.column(1)), words):
+            for members in shingles(texts_of(b.column(2)), words):
                 np.add.at(counts, (members >> np.uint64(64 - COUNT_BITS)).astype(np.int64), 1)
                 rows.append((len(members), class_of(members), minhash_keys(members), signature(members)) if len(members) else (0, None, None, None))
             n = len(rows)
-            own = [b.column(0), *[pa.array([r[k] for r in rows], types[k + 1]) for k in range(4)], pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())]
+            own = [b.column(0), b.column(1), *[pa.array([r[k] for r in rows], types[k + 2]) for k in range(4)], pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())]
             yield pa.RecordBatch.from_arrays(own, names=names)
         part = sums.rows_of(counts)
-        yield pa.RecordBatch.from_arrays([*[pa.nulls(part.num_rows, t) for t in types[:5]], *part.columns], names=names)
+        yield pa.RecordBatch.from_arrays([*[pa.nulls(part.num_rows, t) for t in types[:6]], *part.columns], names=names)
 
     return describe
 
@@ -144,10 +151,10 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int,
     one, two = (sheet.toDF(x, f"n{x}", f"bits_{x}") for x in "ab")
     near = materialise(pairs.join(one, "a").join(two, "b").select("a", "b", "na", "nb", "bits_a", "bits_b").mapInArrow(_possible(percent), "a long, b long"))
     wanted = near.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-    wanted = materialise(wanted.join(classes.select("class", "doc_id"), "class"))
-    # One text for each class, whatever the number of rows with its doc_id. Written, so that both
-    # joins read shuffled tables, whose hot keys (a leader of many classes) Spark splits.
-    texts = materialise(narrow(docs, wanted, "doc_id").groupBy("class").agg(F.first("text").alias("text")))
+    wanted = materialise(wanted.join(classes.select("class", "row"), "class"))
+    # One text for each class. Written, so that both joins read shuffled tables, whose hot keys
+    # (a leader of many classes) Spark splits.
+    texts = materialise(narrow(docs, wanted, "row").select("class", "text"))
     both = near.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
     return materialise(both.select("a", "b", "text_a", "text_b").mapInArrow(_exact(words, percent), "a long, b long"))
 
@@ -160,8 +167,6 @@ def _file(counts: np.ndarray, buckets: int, words: int, percent: int):
             held: list[tuple[np.ndarray, int, int, int]] = []
             for members, own, group in zip(shingles(texts_of(b.column("text")), words), b.column("class").to_pylist(), b.column("component").to_pylist(), strict=True):
                 n = len(members)
-                if not n or class_of(members) != own:
-                    continue  # another text under the same doc_id
                 load = counts[(members >> np.uint64(64 - COUNT_BITS)).astype(np.int64)]
                 # A partner shares at least percent of n members, so one of these.
                 some = n - -(-percent * n // 100) + 1
@@ -255,39 +260,45 @@ def jaccard_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     Repeated rows each give a row; a row with a null doc_id takes part, but never names a
     component. Other columns are ignored.
     """
-    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    rows, found = _grouped(keyed(docs.select("doc_id", "text")), words, percent)
+    least = found.groupBy("root_").agg(F.min("doc_id").alias("component_id"))
+    labels = materialise(found.select("class", "root_").join(least, "root_").select("class", "component_id"))
+    out = narrow(rows.select("doc_id", "n", "class"), labels, "class", "left")
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "class")
+
+
+def _grouped(numbered: DataFrame, words: int = WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+    """For ``keyed`` documents: their rows (row, doc_id, n, class), and the classes (class, doc_id,
+    row, root_), each with its first row by doc_id, nulls last, then key, and its component."""
+    docs = numbered.select("row", F.col("doc.doc_id").cast("long").alias("doc_id"), F.col("doc.text").cast("string").alias("text"))
     sheet = materialise(docs.mapInArrow(_describe(words), _SHEET))
     rows = sheet.where("slice IS NULL")
     counts = sums.total(sheet.where("slice IS NOT NULL").select("slice", "cells"), 1 << COUNT_BITS).astype(np.int32)
     classes = rows.where("class IS NOT NULL").groupBy("class").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("keys").alias("keys"),
+        _first().alias("least"), F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("keys").alias("keys"),
         F.count(F.lit(1)).alias("copies"),
     )
-    classes = materialise(classes)
+    classes = materialise(classes.select("class", "least.doc_id", "least.row", "n", "bits", "keys", "copies"))
 
-    keyed = classes.select("class", "copies", F.explode("keys").alias("key"))
+    hashes = classes.select("class", "copies", F.explode("keys").alias("key"))
     most = F.max(F.struct("copies", "class"))["class"]
-    leaders = keyed.groupBy("key").agg(F.array_distinct(F.array(most, F.min("class"))).alias("leaders"), F.count(F.lit(1)).alias("many")).where("many > 1")
-    ties = keyed.join(leaders, "key").select(F.col("class").alias("a"), F.explode("leaders").alias("b")).where("a != b").distinct()
+    leaders = hashes.groupBy("key").agg(F.array_distinct(F.array(most, F.min("class"))).alias("leaders"), F.count(F.lit(1)).alias("many")).where("many > 1")
+    ties = hashes.join(leaders, "key").select(F.col("class").alias("a"), F.explode("leaders").alias("b")).where("a != b").distinct()
     early = verified(materialise(ties), classes, docs, words, percent)
     joined = components(early).withColumnRenamed("id", "class")
 
-    named = classes.select("class", "doc_id").join(joined, "class", "left")
-    named = materialise(named.select("doc_id", "class", F.coalesce("component_id", "class").alias("component")))
+    named = classes.select("class", "row").join(joined, "class", "left")
+    named = materialise(named.select("row", "class", F.coalesce("component_id", "class").alias("component")))
     members = classes.agg(F.sum("n")).first()[0] or 0
     buckets = max(8, -(-members * (100 - percent) // (100 * TASK_ENTRIES)))
-    entries = narrow(docs, named, "doc_id").select("text", "class", "component")
+    entries = narrow(docs, named, "row").select("text", "class", "component")
     filed = entries.mapInArrow(_file(counts, buckets, words, percent), "bucket int, tokens binary, places binary, sizes binary, classes binary, components binary")
     pairs = materialise(filed.groupBy("bucket").applyInArrow(_tiles(percent), "a long, b long").distinct())
     late = verified(pairs, classes, docs, words, percent)
 
     reached = components(early.union(late)).withColumnRenamed("id", "class")
-    found = classes.select("class", "doc_id").join(reached, "class", "left").select("class", "doc_id", F.coalesce("component_id", "class").alias("root_"))
-    found = materialise(found)
-    least = found.groupBy("root_").agg(F.min("doc_id").alias("component_id"))
-    labels = materialise(found.select("class", "root_").join(least, "root_").select("class", "component_id"))
-    out = narrow(rows.select("doc_id", "n", "class"), labels, "class", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "class")
+    found = classes.select("class", "doc_id", "row").join(reached, "class", "left")
+    return rows, materialise(found.select("class", "doc_id", "row", F.coalesce("component_id", "class").alias("root_")))
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:

@@ -193,6 +193,18 @@ def test_jaccard_groups(spark, docs):
     assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in got) == brute_groups(rows)
 
 
+@pytest.mark.parametrize("name", [None, 7])
+def test_groups_where_doc_id_is_no_key(spark, name):
+    base = [f"w{i}" for i in range(60)]
+    edited = lambda lo, hi: " ".join(f"{w}x" if lo <= i < hi else w for i, w in enumerate(base))
+    # The middle text alone links the outer ones; its doc_id is null, or also that of another text.
+    rows = [(1, edited(0, 6)), (name, " ".join(base)), (3, edited(54, 60)), (name, "quite another text of more than five words")]
+    assert brute_groups(rows)[1][2] == "1" and brute_groups(rows[::2])[1][2] == "3"
+    for some in (rows, rows[::-1]):
+        got = jaccard.jaccard_groups(spark.createDataFrame(some, "doc_id long, text string").coalesce(1)).collect()
+        assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in got) == brute_groups(some)
+
+
 def test_signatures_bound_the_overlap():
     rng = np.random.default_rng(6)
     for n in (1, 5, 64, 65, 300, 1000):

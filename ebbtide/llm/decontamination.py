@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ebbtide.llm.common import hashed, materialise, narrow, table, texts_of, windows
+from ebbtide.llm.common import hashed, keyed, materialise, narrow, table, texts_of, windows
 
 K1, B = 1.2, 0.75
 #: Thresholds: share of an item's own score, of its question's n-grams, of its answer's n-grams.
@@ -161,9 +161,14 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` in which no item stands, with their columns."""
-    found = materialise(leaks(docs, benchmark).select("doc_id").distinct())
-    return narrow(docs, found, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The rows of ``docs`` in which no item stands, with their columns.
+
+    Each row is judged by its own text: a doc_id may be null or stand for several texts.
+    """
+    numbered = keyed(docs)
+    found = leaks(numbered.select(F.col("row").alias("doc_id"), F.col("doc.text").alias("text")), benchmark)
+    found = materialise(found.select(F.col("doc_id").alias("row")).distinct())
+    return narrow(numbered, found, "row", "left_anti").select("doc.*")
 
 
 def op3_bm25_decontamination(spark, folder: str) -> DataFrame:

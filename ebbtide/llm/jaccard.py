@@ -302,9 +302,16 @@ def _grouped(numbered: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The document that names each component of ``docs``, with its columns."""
-    kept = jaccard_groups(docs).where("component_id = doc_id").select("doc_id").distinct()
-    return narrow(docs, materialise(kept), "doc_id").select(*[F.col(f"`{c}`") for c in docs.columns]).dropDuplicates(["doc_id"])
+    """One row of each component of ``docs``, with its columns: the smallest doc_id, nulls last.
+
+    Rows are told apart by a key written with them, so a doc_id may be null or stand for several
+    texts. A row without shingles (null or empty text) is a component of its own and is kept.
+    """
+    numbered = keyed(docs)
+    rows, found = _grouped(numbered)
+    kept = found.groupBy("root_").agg(_first().alias("least")).select("least.row")
+    kept = materialise(kept.union(rows.where("class IS NULL").select("row")))
+    return narrow(numbered, kept, "row").select("doc.*")
 
 
 def op6_ngram_jaccard_join(spark, folder: str) -> DataFrame:

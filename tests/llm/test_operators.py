@@ -205,6 +205,16 @@ def test_groups_where_doc_id_is_no_key(spark, name):
         assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in got) == brute_groups(some)
 
 
+def test_stages_where_doc_id_is_no_key(spark):
+    item = LONG.replace(" ", " item")
+    rows = [(None, LONG), (None, LONG + " more"), (None, "a clean text without an id"), (7, LONG), (7, "another text under the same id"), (8, ""), (None, None)]
+    kept = jaccard.one_of_each(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()
+    assert sorted(map(str, map(tuple, kept))) == sorted(map(str, rows[2:]))
+    rows += [(None, item), (9, "before " + item), (9, "clean")]
+    clean = decontamination.decontaminated(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(1, item)], "item_id long, text string")).collect()
+    assert sorted(map(str, map(tuple, clean))) == sorted(map(str, [*rows[:7], rows[9]]))
+
+
 def test_signatures_bound_the_overlap():
     rng = np.random.default_rng(6)
     for n in (1, 5, 64, 65, 300, 1000):

@@ -6,13 +6,15 @@ its own text gets, so one threshold serves all items. Items lie in groups; the l
 a term in each group bounds the score of all its items. A passage is a window of twice the
 longest item, every item length, so that any occurrence lies inside one. Groups whose bound for a
 passage stays below the threshold are skipped; the items of the others are scored exactly. What
-reaches the threshold is verified: enough n-grams of the question and of the answer must
-stand in the passage. The answer is the last quarter of an item's words, the question what is
-before it.
+reaches the threshold is verified: enough of the question and of the answer must stand in the
+passage, as n-grams or as words in order where the item lies, which an edited word hardly lowers.
+The answer is the last quarter of an item's words, the question what is before it. Items of few
+words are looked for as whole word sequences.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -24,10 +26,12 @@ from pyspark.sql import functions as F
 from ebbtide.llm.common import hashed, keyed, materialise, narrow, table, texts_of, windows
 
 K1, B = 1.2, 0.75
-#: Thresholds: share of an item's own score, of its question's n-grams, of its answer's n-grams.
+#: Thresholds: share of an item's own score, of its question, of its answer.
 SCORE, QUESTION, ANSWER = 0.6, 0.6, 0.6
 GRAM = 4
-#: Shorter items are no evidence: their words stand together by chance.
+#: Words in order may stand so many places off where the item lies.
+SLACK = 3
+#: Shorter items are found only as they are, word by word.
 LEAST_WORDS = 8
 INDEX_ITEMS, INDEX_BYTES, GROUP = 512, 1 << 18, 8
 ANSWER_SHARE = 0.25
@@ -45,34 +49,94 @@ class Index:
     weights: np.ndarray  # terms x items
     question: list[np.ndarray]  # per item: distinct n-grams
     answer: list[np.ndarray]
+    words: list[np.ndarray]
+    cuts: list[int]  # words of the question
+    short: dict[int, dict[int, list[int]]]  # by number of words and their hash: places in ids
     longest: int
 
 
 def build_index(items: list[tuple[int, bytes]]) -> Index | None:
-    """BM25 weights of a bounded block of items; None if none is long enough."""
+    """BM25 weights of a bounded block of items; None if none has words."""
     words = [v[a:b] for _, v, o in hashed([t for _, t in items], _CLASSES) for a, b in zip(o[:-1], o[1:], strict=True)]
-    kept = [(i, w) for (i, _), w in zip(items, words, strict=True) if i is not None and len(w) >= LEAST_WORDS]
-    if not kept:
+    named = [(i, w) for (i, _), w in zip(items, words, strict=True) if i is not None and len(w)]
+    if not named:
         return None
+    kept = [x for x in named if len(x[1]) >= LEAST_WORDS]
+    ids, short = [i for i, _ in kept], {}
+    for i, w in named:
+        if len(w) < LEAST_WORDS:
+            short.setdefault(len(w), {}).setdefault(int(windows(w, len(w))[0]), []).append(len(ids))
+            ids.append(i)
+    if not kept:
+        return Index(ids, np.zeros(0, np.uint64), None, None, [], [], [], [], short, 0)
     terms, found = np.unique(np.concatenate([np.unique(w) for _, w in kept]), return_counts=True)
     idf = np.log(1 + (len(kept) - found + 0.5) / (found + 0.5))
     mean = np.mean([len(w) for _, w in kept])
-    index = Index([i for i, _ in kept], terms, None, np.zeros((len(terms), len(kept)), np.float32), [], [], max(len(w) for _, w in kept))
+    index = Index(ids, terms, None, np.zeros((len(terms), len(kept)), np.float32), [], [], [w for _, w in kept], [], short, max(len(w) for _, w in kept))
     for k, (_, w) in enumerate(kept):
         own, tf = np.unique(w, return_counts=True)
         row = np.searchsorted(terms, own)
         weight = idf[row] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(w) / mean))
         index.weights[row, k] = weight / weight.sum()
         cut = len(w) - max(GRAM, int(len(w) * ANSWER_SHARE))
+        index.cuts.append(cut)
         index.question.append(np.unique(windows(w[: cut + GRAM - 1], GRAM)))
         index.answer.append(np.unique(windows(w[cut:], GRAM)))
     index.bounds = np.maximum.reduceat(index.weights, np.arange(0, len(kept), GROUP), axis=1)
     return index
 
 
+def _longest_rise(places: np.ndarray) -> int:
+    ends: list[int] = []
+    for p in places.tolist():
+        at = bisect_left(ends, p)
+        ends[at : at + 1] = [p]
+    return len(ends)
+
+
+def in_order(item: np.ndarray, cut: int, passage: np.ndarray, overlap: list[float]) -> list[float]:
+    """``overlap`` of question and answer, raised to the shares of their words that stand in order
+    around a place of the passage, where that makes both enough."""
+    least = QUESTION * cut + ANSWER * (len(item) - cut)
+    i, j = np.nonzero(item[:, None] == passage[None, :])
+    lane = j - i + len(item) - 1
+    single = np.bincount(lane, minlength=len(item) + len(passage) + 2 * SLACK)
+    around = np.convolve(single, np.ones(2 * SLACK + 1, np.int64), "same")
+    # No lane with fewer equal words around it can hold enough of both.
+    possible = np.flatnonzero((single > 0) & (around >= least))
+    for d in possible[np.argsort(-single[possible], kind="stable")]:
+        near = np.abs(lane - d) <= SLACK
+        p, q = i[near], j[near]
+        order = np.lexsort((-q, p))
+        p, q = p[order], q[order]
+        share = [_longest_rise(q[p < cut]) / cut, _longest_rise(q[p >= cut]) / (len(item) - cut)]
+        share = [max(x) for x in zip(overlap, share, strict=True)]
+        if share[0] >= QUESTION and share[1] >= ANSWER:
+            return share
+    return overlap
+
+
+def _sequences(words: np.ndarray, offsets: np.ndarray, index: Index) -> Iterator[tuple[int, int, int, float, float, float]]:
+    """As ``_search``, the items of few words: the first place in each document."""
+    for n, wanted in index.short.items():
+        known = np.sort(np.fromiter(wanted, np.uint64, len(wanted)))
+        have = windows(words, n)
+        at = np.flatnonzero(np.isin(have, known))
+        doc = np.searchsorted(offsets, at, side="right") - 1
+        inside = at + n <= offsets[doc + 1]
+        at, doc = at[inside], doc[inside]
+        _, first = np.unique(doc * len(known) + np.searchsorted(known, have[at]), return_index=True)
+        for d, p in zip(doc[first].tolist(), at[first].tolist(), strict=True):
+            for k in wanted[int(have[p])]:
+                yield d, k, int(p - offsets[d]), 1.0, 1.0, 1.0
+
+
 def _search(words: np.ndarray, offsets: np.ndarray, index: Index) -> Iterator[tuple[int, int, int, float, float, float]]:
     """(document, item, first word of the passage, score, question overlap, answer overlap) of all that pass."""
+    yield from _sequences(words, offsets, index)
     step = index.longest
+    if not step:
+        return
     row = np.searchsorted(index.terms, words)
     row[row == len(index.terms)] = 0
     at = np.flatnonzero(index.terms[row] == words)
@@ -103,8 +167,11 @@ def _search(words: np.ndarray, offsets: np.ndarray, index: Index) -> Iterator[tu
             scores = index.weights[present, g * GROUP : (g + 1) * GROUP].sum(axis=0)
             for k, score in ((g * GROUP + j, scores[j]) for j in np.flatnonzero(scores >= SCORE)):
                 if grams is None:
-                    grams = np.unique(windows(words[start : min(start + 2 * step, offsets[d + 1])], GRAM))
+                    passage = words[start : min(start + 2 * step, offsets[d + 1])]
+                    grams = np.unique(windows(passage, GRAM))
                 overlap = [float(np.isin(x[k], grams, assume_unique=True).mean()) for x in (index.question, index.answer)]
+                if overlap[0] < QUESTION or overlap[1] < ANSWER:
+                    overlap = in_order(index.words[k], index.cuts[k], passage, overlap)
                 if overlap[0] >= QUESTION and overlap[1] >= ANSWER:
                     yield d, k, int(start - offsets[d]), float(score), *overlap
 
@@ -148,9 +215,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per row of ``docs`` and item of ``benchmark`` (item_id, text) that stands in it.
 
     doc_id, item_id, passage (its first word), score (share of the item's own BM25 score),
-    question_overlap, answer_overlap; of several passages the best. Null and empty texts leak
-    nothing; items without an id or with fewer than ``LEAST_WORDS`` words are not searched for;
-    repeated rows each give their rows; other columns are ignored.
+    question_overlap, answer_overlap (share of n-grams, or of words in order); of several passages
+    the best. Items with fewer than ``LEAST_WORDS`` words stand in a text only with all their words
+    together, be it one; passage is then their place, and the shares are 1. Null and empty texts
+    leak nothing; items without an id or without words are not searched for; repeated rows each
+    give their rows; other columns are ignored.
     """
     slim = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     out = docs.sparkSession.createDataFrame([], _FOUND)

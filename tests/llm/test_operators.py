@@ -7,6 +7,7 @@ import struct
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from compare import database, difference, spark_table, sql_table
@@ -122,6 +123,32 @@ def test_leaks(spark):
     assert sorted((r.doc_id, r.item_id) for r in found.collect()) == sorted([(i, i) for i in range(12)] + [(54, 2), (54, 4)])
 
 
+def found_in(texts, items):
+    index = decontamination.build_index([(i, t.encode()) for i, t in enumerate(items)])
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "text"])
+    return sorted((r["doc_id"], r["item_id"]) for b in decontamination._passages(index)([batch]) for r in b.to_pylist())
+
+
+def test_leaks_with_one_edited_word():
+    rng = np.random.default_rng(11)
+    invent = lambda n: ["".join(rng.choice(list("abcdefghij"), 4)) for _ in range(n)]
+    items, texts, want = [invent(n) for n in range(15, 61)], [], []
+    for k, item in enumerate(items):
+        for at in range(len(item)):
+            for new in (["changed"], [], ["put", item[at]]):
+                want.append((len(texts), k))
+                texts.append(" ".join([*invent(30), *item[:at], *new, *item[at + 1 :], *invent(30)]))
+    texts += [" ".join(invent(200)), *(" ".join(item[: len(item) // 2] + invent(30)) for item in items)]
+    assert found_in(texts, [" ".join(i) for i in items]) == want
+
+
+def test_leaks_of_short_items():
+    texts = ["Two words.", "two", "words two words", None, "two other words", "one, two, three four five six seven", LONG]
+    items = ["two words", "TWO words", "one", "one two three four five six seven", "", "upsilon more", LONG]
+    assert found_in(texts, items) == [(0, 0), (0, 1), (2, 0), (2, 1), (5, 2), (5, 3), (6, 6)]
+    assert found_in(texts, items[:1]) == [(0, 0), (2, 0)]
+
+
 def test_language_model(docs):
     rows = [r for r in docs.collect()]
     fold = lambda d: d is not None and zlib.crc32(str(d).encode()) % 5 == 1

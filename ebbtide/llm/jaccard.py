@@ -1,4 +1,6 @@
-"""N-gram Jaccard join: every pair of documents whose shingle sets overlap enough.
+"""N-gram Jaccard join: components of documents whose shingle sets overlap enough.
+
+The result is components, not links: pairs that already lie in one component are not compared.
 
 1. One pass gives each document its set size, a class for equal sets, a bitmap signature with one
    bit of parity per hash cell, six minhash keys, and the corpus a table of shingle counts of
@@ -257,6 +259,7 @@ def jaccard_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     ``words`` words has them all as one shingle. Documents link when their sets overlap by
     ``percent`` of their union. ``component_id`` is the smallest doc_id that links reach, the
     document's own without links. Null and empty texts have no shingles and link with nothing.
+    Only components are found, not every link inside them.
     Repeated rows each give a row; a row with a null doc_id takes part, but never names a
     component. Other columns are ignored.
     """

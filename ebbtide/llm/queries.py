@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ebbtide.llm.alignment import op12_token_alignment
 from ebbtide.llm.chat import OP9_SQL, op9_maximal_conversations
 from ebbtide.llm.decontamination import op3_bm25_decontamination
 from ebbtide.llm.grammar import op7_repair_token_files
@@ -28,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_contiguous_shards": op8_contiguous_shards,
     "op9_maximal_conversations": op9_maximal_conversations,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op12_token_alignment": op12_token_alignment,
 }
 
 SQL: dict[str, str] = {"op9_maximal_conversations": OP9_SQL}

@@ -13,6 +13,7 @@ from ebbtide.llm.grammar import op7_repair_token_files
 from ebbtide.llm.jaccard import op6_ngram_jaccard_join
 from ebbtide.llm.language_model import op4_backoff_automaton
 from ebbtide.llm.packing import op10_best_fit_packing
+from ebbtide.llm.phrases import OP13_SQL, op13_phrase_collocations
 from ebbtide.llm.quality import op5_random_indexing_quality
 from ebbtide.llm.sharding import op8_contiguous_shards
 from ebbtide.llm.token_counts import op1_trie_token_counts
@@ -30,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_maximal_conversations": op9_maximal_conversations,
     "op10_best_fit_packing": op10_best_fit_packing,
     "op12_token_alignment": op12_token_alignment,
+    "op13_phrase_collocations": op13_phrase_collocations,
 }
 
-SQL: dict[str, str] = {"op9_maximal_conversations": OP9_SQL}
+SQL: dict[str, str] = {"op9_maximal_conversations": OP9_SQL, "op13_phrase_collocations": OP13_SQL}

@@ -15,6 +15,7 @@ from ebbtide.llm.language_model import op4_backoff_automaton
 from ebbtide.llm.packing import op10_best_fit_packing
 from ebbtide.llm.phrases import OP13_SQL, op13_phrase_collocations
 from ebbtide.llm.quality import op5_random_indexing_quality
+from ebbtide.llm.repeats import op11_repeated_spans
 from ebbtide.llm.sharding import op8_contiguous_shards
 from ebbtide.llm.token_counts import op1_trie_token_counts
 from ebbtide.llm.vectors import op2_subspace_near_vectors
@@ -30,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_contiguous_shards": op8_contiguous_shards,
     "op9_maximal_conversations": op9_maximal_conversations,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_repeated_spans": op11_repeated_spans,
     "op12_token_alignment": op12_token_alignment,
     "op13_phrase_collocations": op13_phrase_collocations,
 }

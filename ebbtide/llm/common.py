@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import gc
 import time
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -103,8 +103,19 @@ def runs(buffer: np.ndarray, classes: np.ndarray = WHITE) -> tuple[np.ndarray, n
     return starts, ends, mix(value + (ends - starts).astype(np.uint64))
 
 
+#: How to drop what a Python worker keeps from one task to the next (the word caches of tokenizers).
+kept_by_worker: list[Callable[[], None]] = []
+
+
+def release() -> None:
+    """Drop it: workers outlive a stage, and the next one needs the memory for its own work."""
+    while kept_by_worker:
+        kept_by_worker.pop()()
+
+
 def hashed(texts: list[bytes], classes: np.ndarray = WHITE) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Per chunk of documents: number of the first, word hashes, and word offsets of each document."""
+    release()
     for start, end in chunks(texts):
         part = texts[start:end]
         starts, _, value = runs(np.frombuffer(b"\n".join(part), dtype=np.uint8), classes)

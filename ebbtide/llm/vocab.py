@@ -11,6 +11,8 @@ from __future__ import annotations
 import os
 import re
 
+from ebbtide.llm.common import kept_by_worker
+
 CACHE_WORDS = 1_400_000
 CACHE_BYTES = 48
 
@@ -113,7 +115,8 @@ _open: dict[tuple[type, str], _Cache] = {}
 
 
 def encoder(kind: type[_Cache], path: str) -> _Cache:
-    """One cache for each file and Python worker."""
+    """One cache for each file and Python worker, until a stage of another kind runs there."""
     if (kind, path) not in _open:
         _open[kind, path] = kind(path)
+        kept_by_worker.append(_open.clear)
     return _open[kind, path]

@@ -25,10 +25,11 @@ from ebbtide.session import materialise
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 MAX_PIVOTS = 1024
-_HIT = "array<struct<d: double, id: bigint>>"
+HIT = "array<struct<d: double, id: bigint>>"
 
 
-def _matrix(column: pd.Series) -> np.ndarray:
+def matrix(column: pd.Series) -> np.ndarray:
+    """An array column as one table of numbers."""
     return np.stack(column.to_numpy()).astype(float)
 
 
@@ -37,11 +38,11 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(squares, 0))
 
 
-def _search(queries: pd.DataFrame, points: pd.DataFrame, k: int) -> pd.DataFrame:
+def search(queries: pd.DataFrame, points: pd.DataFrame, k: int) -> pd.DataFrame:
     """The k closest points of one block for each query of one block."""
     if queries.empty or points.empty:
         return pd.DataFrame({"id": [], "hits": []})
-    x, y = _matrix(queries["x"]), _matrix(points["x"])
+    x, y = matrix(queries["x"]), matrix(points["x"])
     qid, pid = queries["id"].to_numpy(), points["id"].to_numpy()
     near = _distances(x, y)
     near[qid[:, None] == pid[None, :]] = np.inf
@@ -77,7 +78,7 @@ def nearest_neighbours(points: DataFrame, k: int, block: int = 2000, exact: bool
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if len(batch):
-                away = _distances(_matrix(batch["x"]), pivots)
+                away = _distances(matrix(batch["x"]), pivots)
                 yield batch.assign(cell=away.argmin(1).astype("int32"), r=away.min(1))
 
     placed = materialise(points.select("id", "x").mapInPandas(place, "id bigint, x array<double>, cell int, r double"))
@@ -100,7 +101,7 @@ def nearest_neighbours(points: DataFrame, k: int, block: int = 2000, exact: bool
         )
         keys = ("cell", "own", "part")
         found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(
-            lambda q, p: _search(q, p, k), f"id bigint, hits {_HIT}"
+            lambda q, p: search(q, p, k), f"id bigint, hits {HIT}"
         )
         return found
 
@@ -121,7 +122,7 @@ def nearest_neighbours(points: DataFrame, k: int, block: int = 2000, exact: bool
         for batch in batches:
             if not len(batch):
                 continue
-            away = _distances(_matrix(batch["x"]), pivots)
+            away = _distances(matrix(batch["x"]), pivots)
             own, reach = batch["cell"].to_numpy(), batch["reach"].to_numpy()
             rows = np.arange(len(batch))
             mine = away[rows, own]

@@ -7,6 +7,7 @@ import itertools
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ebbtide.operators.hashing import close_neighbours
 from ebbtide.operators.neighbours import nearest_neighbours
 from ebbtide.operators.ranking import running_totals
 from ebbtide.operators.sampling import SEED, undersample
@@ -31,30 +32,43 @@ def _numbered(counted: DataFrame) -> DataFrame:
 
 
 def oversample_smote(
-    df: DataFrame, features: str = "features", label: str = "label", k: int = NEIGHBOURS, seed: int = SEED, exact: bool = True
+    df: DataFrame, features: str = "features", label: str = "label", k: int = NEIGHBOURS, seed: int = SEED, exact: bool = False
 ) -> DataFrame:
     """(features, label) of all rows plus synthetic minority rows until the classes are
-    equal. ``features`` is an array of doubles.
+    equal. ``features`` is an array of doubles. See :func:`synthetic_rows`."""
+    data = df.select(F.col(features).alias("features"), F.col(label).cast("double").alias("label"))
+    made = synthetic_rows(df, features, label, k, seed, exact)
+    return data if made is None else data.unionByName(made.select("features", "label"))
+
 
-    Copies of a row are counted first: equal vectors are searched once, and a vector with
-    many copies has its own copies as closest neighbours. Every row receives its share of
-    new rows by rounding a running total, so the number of new rows is exact.
+def synthetic_rows(
+    df: DataFrame, features: str = "features", label: str = "label", k: int = NEIGHBOURS, seed: int = SEED, exact: bool = False
+) -> DataFrame | None:
+    """(features, label, x, y, gap): the rows missing in the minority class, each at ``gap``
+    of the way from the row ``x`` to one of its ``k`` neighbours ``y``. None if none is missing.
+
+    Neighbours come from hash tables, in work linear in the minority class; ``exact`` searches
+    for the true ones, whose cost grows faster. Copies of a row are counted first: equal
+    vectors are searched once, and a vector with many copies has its own copies as closest
+    neighbours. Every row receives its share of new rows by rounding a running total, so the
+    number of new rows is exact.
     """
     data = df.select(F.col(features).alias("features"), F.col(label).cast("double").alias("label"))
     sizes = {row["label"]: row["count"] for row in data.groupBy("label").count().collect()}
     if len(sizes) < 2:
-        return data
+        return None
     minority = min(sizes, key=lambda c: (sizes[c], -c))
     missing, rows = max(sizes.values()) - sizes[minority], sizes[minority]
     if missing == 0 or rows < 2:
-        return data
+        return None
 
     counted = materialise(
         data.where(F.col("label") == minority).groupBy(F.col("features").alias("x")).agg(F.count(F.lit(1)).alias("m"))
     )
     points = _numbered(counted)
-    # More copies than k: all k neighbours are copies of the row, nothing to search.
-    near = nearest_neighbours(points.select("id", "x"), k, exact=exact, seed=seed)
+    # Vectors with more than k copies are searched too: others may have them as neighbours.
+    search = nearest_neighbours if exact else close_neighbours
+    near = search(points.select("id", "x"), k, seed=seed)
 
     totals = running_totals(points.select("id", "m"), "id", ["m"], descending=False)
 
@@ -98,21 +112,23 @@ def oversample_smote(
         F.when(chosen == 0, F.col("x")).otherwise(F.get("ys", chosen - 1)).alias("y"),
         _uniform("draw", "id", F.lit(seed + 1)).alias("gap"),
     )
-    synthetic = picked.select(
+    return picked.select(
         F.zip_with("x", "y", lambda a, b: a + F.col("gap") * (b - a)).alias("features"),
         F.lit(float(minority)).alias("label"),
+        "x",
+        "y",
+        "gap",
     )
-    return data.unionByName(synthetic)
 
 
-def balance(df: DataFrame, method: str = "smote", key: str = "row_key", seed: int = SEED) -> DataFrame:
+def balance(df: DataFrame, method: str = "smote", key: str = "row_key", seed: int = SEED, exact: bool = False) -> DataFrame:
     """Balance a (key, features, label) frame; an unknown method leaves it as it is.
 
-    ``smote`` adds rows, ``undersampling`` removes rows, and ``class_weight`` keeps the rows
+    ``smote`` adds rows (``exact`` as in :func:`oversample_smote`), ``undersampling`` removes rows, and ``class_weight`` keeps the rows
     because the weights are applied while fitting.
     """
     if method == "smote":
-        return oversample_smote(df, seed=seed)
+        return oversample_smote(df, seed=seed, exact=exact)
     if method == "undersampling":
         return undersample(df, key=key, target="label", seed=seed).select("features", "label")
     return df.select("features", "label")

@@ -673,6 +673,13 @@ put(
 TRAIN = f"""
 tr AS (SELECT CAST(Churn AS DOUBLE) AS label, count(*) AS n FROM cl WHERE NOT substr({_HASH}, 1, 8) < '33333333' GROUP BY 1)"""
 put("oversample_smote", "SELECT label, n AS before, (SELECT max(n) FROM tr) AS after FROM tr", CLEAN, TRAIN)
+_MISSING = "(SELECT max(n) - min(n) FROM tr)"
+put(
+    "smote_segments",
+    f"SELECT label, {_MISSING} AS synthetic, {_MISSING} AS on_segment, {_MISSING} AS between_minority_rows FROM tr ORDER BY n, label DESC LIMIT 1",
+    CLEAN,
+    TRAIN,
+)
 put(
     "balance",
     """SELECT 'smote' AS method, label, (SELECT max(n) FROM tr) AS n FROM tr UNION ALL SELECT 'undersampling', label, (SELECT min(n) FROM tr) FROM tr

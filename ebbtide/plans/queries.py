@@ -28,10 +28,10 @@ from ebbtide.operators import (
     validation,
 )
 from ebbtide.operators.models import FITTERS
-from ebbtide.operators.smote import balance
+from ebbtide.operators.smote import balance, synthetic_rows
 from ebbtide.plans.training import TrainingRun, prepare, train_and_select
 from ebbtide.schema import ID, NUMERIC, TARGET, quoted
-from ebbtide.session import shared_folder
+from ebbtide.session import materialise, shared_folder
 from ebbtide.sources import files
 from ebbtide.sources.bundle import Bundle, load_bundle, save_bundle
 from ebbtide.sources.tables import requests, subscribers
@@ -524,6 +524,26 @@ def oversample_smote(spark: SparkSession, folder: str) -> DataFrame:
     return before.join(after, "label")
 
 
+@query("smote_segments")
+def smote_segments(spark: SparkSession, folder: str) -> DataFrame:
+    """Synthetic rows of the training part, those on the segment between their two rows, and
+    those both of whose rows are rows of the minority class."""
+    train = training_run(spark, folder).train.withColumn("features", vector_to_array("features"))
+    made = materialise(synthetic_rows(train).withColumn("number", F.monotonically_increasing_id()))
+    apart = F.aggregate(
+        F.zip_with("features", F.zip_with("x", "y", lambda a, b: a + F.col("gap") * (b - a)), lambda f, g: F.abs(f - g)),
+        F.lit(0.0), lambda a, b: F.greatest(a, b),
+    )
+    known = train.select("label", F.col("features").alias("row")).distinct()
+    ends = made.select("number", "label", F.explode(F.array("x", "y")).alias("row")).join(known, ["label", "row"])
+    both = ends.groupBy("number").agg(F.count(F.lit(1)).alias("ends")).where("ends = 2")
+    return made.join(both, "number", "left").groupBy("label").agg(
+        F.count(F.lit(1)).alias("synthetic"),
+        F.count_if((apart < 1e-9) & F.col("gap").between(0, 1)).alias("on_segment"),
+        F.count("ends").alias("between_minority_rows"),
+    )
+
+
 @query("balance")
 def balance_methods(spark: SparkSession, folder: str) -> DataFrame:
     """Class sizes under each balancing method."""

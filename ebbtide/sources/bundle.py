@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.ml import Model, PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml import PipelineModel
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.operators.models import churn_probability, conform
+from ebbtide.operators.boosting import BoostedTrees
+from ebbtide.operators.models import Classifier, churn_probability, conform
 from ebbtide.operators.scoring import DEFAULT_THRESHOLDS, choose_threshold, prediction_table, record_table
 from ebbtide.operators.validation import split_valid
 
@@ -18,7 +20,7 @@ from ebbtide.operators.validation import split_valid
 @dataclass(frozen=True)
 class Bundle:
     preprocessing: PipelineModel
-    classifiers: tuple[Model, ...]  # more than one: their mean probability counts
+    classifiers: tuple[Classifier, ...]  # more than one: their mean probability counts
     thresholds: Mapping[str, float]
 
     def _with_probability(self, customers: DataFrame) -> DataFrame:
@@ -39,22 +41,55 @@ class Bundle:
         return record_table(frame, F.col("_p"), choose_threshold(self.thresholds, mode))
 
 
-def save_bundle(spark: SparkSession, bundle: Bundle, path: str) -> None:
-    """The stages as one pipeline folder, the thresholds as a small table beside it."""
-    PipelineModel([bundle.preprocessing, *bundle.classifiers]).write().overwrite().save(f"{path}/model")
-    rows = [(k, float(v)) for k, v in bundle.thresholds.items()]
-    spark.createDataFrame(rows, "name string, value double").write.mode("overwrite").parquet(f"{path}/thresholds")
+_MANIFEST = "version string, classifiers array<string>, thresholds map<string, double>"
 
 
-def load_thresholds(spark: SparkSession, path: str) -> dict[str, float]:
-    """Stored thresholds over the defaults; a bundle without any uses 0.5 throughout."""
+def save_bundle(spark: SparkSession, bundle: Bundle, path: str) -> str:
+    """Write a new version below ``path`` and commit it; returns its name.
+
+    Stages, tree tables and thresholds go into a folder of their own, and one line of
+    ``manifest`` that names it is written last. Until then readers see the version before.
+    """
+    version = uuid.uuid4().hex
+    place = f"{path}/versions/{version}"
+    stages = [c for c in bundle.classifiers if not isinstance(c, BoostedTrees)]
+    PipelineModel([bundle.preprocessing, *stages]).write().save(f"{place}/model")
+    kinds = []
+    for i, c in enumerate(bundle.classifiers):
+        kinds.append("trees" if isinstance(c, BoostedTrees) else "stage")
+        if isinstance(c, BoostedTrees):
+            c.nodes(spark).write.parquet(f"{place}/trees/{i}/nodes")
+            c.state(spark).write.parquet(f"{place}/trees/{i}/state")
+    thresholds = {k: float(v) for k, v in bundle.thresholds.items()}
+    line = spark.createDataFrame([(version, kinds, thresholds)], _MANIFEST)
+    line.withColumn("committed", F.current_timestamp()).coalesce(1).write.mode("append").parquet(f"{path}/manifest")
+    return version
+
+
+def _committed(spark: SparkSession, path: str) -> Row | None:
+    """The last committed version; None where nothing was ever saved."""
     try:
-        stored = spark.read.parquet(f"{path}/thresholds").collect()
+        manifest = spark.read.parquet(f"{path}/manifest")
     except AnalysisException:
-        stored = []
-    return {**DEFAULT_THRESHOLDS, **{row["name"]: row["value"] for row in stored}}
+        return None
+    return manifest.orderBy(F.desc("committed"), "version").first()
+
+
+def load_thresholds(spark: SparkSession, path: str) -> dict[str, float]:
+    """Thresholds of the committed version over the defaults; a bundle without any uses 0.5 throughout."""
+    last = _committed(spark, path)
+    return {**DEFAULT_THRESHOLDS, **(last["thresholds"] if last else {})}
 
 
 def load_bundle(spark: SparkSession, path: str) -> Bundle:
-    preprocessing, *classifiers = PipelineModel.load(f"{path}/model").stages
-    return Bundle(preprocessing, tuple(classifiers), load_thresholds(spark, path))
+    """The last committed version: its model always comes with its own thresholds."""
+    last = _committed(spark, path)
+    if last is None:
+        raise FileNotFoundError(f"no committed bundle below {path}")
+    place = f"{path}/versions/{last['version']}"
+    preprocessing, *stages = PipelineModel.load(f"{place}/model").stages
+    left, classifiers = iter(stages), []
+    for i, kind in enumerate(last["classifiers"]):
+        parts = [spark.read.parquet(f"{place}/trees/{i}/{name}") for name in ("nodes", "state")] if kind == "trees" else []
+        classifiers.append(BoostedTrees.restore(*parts) if parts else next(left))
+    return Bundle(preprocessing, tuple(classifiers), {**DEFAULT_THRESHOLDS, **last["thresholds"]})

@@ -11,7 +11,8 @@ from ebbtide.operators import attribution, models, sampling
 from ebbtide.plans import jobs, training
 from ebbtide.plans.queries import clean, scratch
 from ebbtide.sources import files
-from ebbtide.sources.bundle import Bundle, load_bundle, save_bundle
+from ebbtide.sources import bundle as bundles
+from ebbtide.sources.bundle import Bundle, load_bundle, load_thresholds, save_bundle
 from ebbtide.sources.tables import requests, subscribers
 from ebbtide.streaming.score import score_stream
 
@@ -145,3 +146,35 @@ def test_segments_are_numbered_by_tenure(spark, folder):
     tenures = [c[0] for _, c in sorted(found.centers().items())]
     assert tenures == sorted(tenures) and len(tenures) == 3
     assert 0 <= tenures[0] and tenures[-1] <= 72
+
+
+def test_bundle_of_own_boosters(spark, folder, run):
+    """Tree tables are saved beside the stages, in the order of the classifiers."""
+    path = scratch(spark, "trees_test")
+    kinds = ("gbt_leafwise", "logistic", "gbt_symmetric")
+    save_bundle(spark, Bundle(run.preprocessing, tuple(run.model(m) for m in kinds), {}), path)
+    loaded = load_bundle(spark, path)
+    out = loaded.score(subscribers(spark, folder))
+    both = run.scores(kinds).join(out, F.col("row_key") == F.col("customerID"))
+    mean = sum(F.col(f"p_{m}") for m in kinds) / 3
+    assert both.select(F.max(F.abs(mean - F.col("churn_probability")))).first()[0] < 1e-12
+
+
+def test_bundle_is_committed_as_a_whole(spark, run, monkeypatch):
+    """A crash between the writes leaves the old model with the old thresholds."""
+    path = scratch(spark, "commit_test")
+    with pytest.raises(FileNotFoundError):
+        load_bundle(spark, path)
+    assert load_thresholds(spark, path) == {"default": 0.5, "f1_threshold": 0.5, "business_threshold": 0.5}
+    old = Bundle(run.preprocessing, (run.model("logistic"),), {"f1_threshold": 0.3})
+    save_bundle(spark, old, path)
+    new = Bundle(run.preprocessing, (run.model("gbt_leafwise"),), {"f1_threshold": 0.9})
+    with monkeypatch.context() as m:
+        m.setattr(bundles.F, "current_timestamp", lambda: 1 / 0)  # model and trees are written, the manifest is not
+        with pytest.raises(ZeroDivisionError):
+            save_bundle(spark, new, path)
+    now = load_bundle(spark, path)
+    assert now.thresholds["f1_threshold"] == 0.3 and isinstance(now.classifiers[0], type(run.model("logistic")))
+    save_bundle(spark, new, path)
+    now = load_bundle(spark, path)
+    assert now.thresholds["f1_threshold"] == 0.9 and type(now.classifiers[0]).__name__ == "BoostedTrees"

@@ -137,8 +137,8 @@ def test_alignment(docs):
 
 def test_alignment_of_a_long_text_and_of_any_tokens():
     groups, links = alignment.align([1, 2, 3], [3, 1, 2])
-    assert (groups, links) == ([(0, 2, 0, 1), (2, 3, 1, 3)], [(0, 0), (1, 0), (2, 1), (2, 2)])
-    assert alignment.align([], []) == ([], [])
+    assert (groups.tolist(), links.tolist()) == ([[0, 2, 0, 1], [2, 3, 1, 3]], [[0, 0], [1, 0], [2, 1], [2, 2]])
+    assert [len(x) for x in alignment.align([], [])] == [0, 0]
 
 
 def test_alignment_keeps_long_texts(spark):

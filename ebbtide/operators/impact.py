@@ -22,8 +22,12 @@ CAMPAIGN_THRESHOLDS = (0.3, 0.4, 0.5, 0.6, 0.7, 0.8)
 
 
 def campaign_roi(df: DataFrame, thresholds: Sequence[float] = CAMPAIGN_THRESHOLDS) -> DataFrame:
-    """Cost and return of a campaign at each threshold; all thresholds in one pass."""
-    counts = df.agg(*[F.count_if(F.col("p") >= t).alias(f"n{i}") for i, t in enumerate(thresholds)])
+    """Cost and return of a campaign at each threshold; all thresholds in one pass.
+
+    A null or NaN score targets nobody. Labels are not needed.
+    """
+    score = F.nanvl(F.col("p").cast("double"), F.lit(None).cast("double"))
+    counts = df.agg(*[F.count_if(score >= t).alias(f"n{i}") for i, t in enumerate(thresholds)])
     lines = [F.struct(F.lit(t).alias("threshold"), F.col(f"n{i}").alias("targeted")) for i, t in enumerate(thresholds)]
     table = counts.select(F.explode(F.array(*lines)).alias("l")).select("l.*")
     return (

@@ -5,7 +5,7 @@ import random
 import pytest
 
 from ebbtide.operators import evaluation as ev
-from ebbtide.operators import scoring
+from ebbtide.operators import impact, scoring
 
 
 def frame(spark, pairs):
@@ -133,3 +133,9 @@ def test_no_prediction_without_a_probability(spark):
     rows = spark.createDataFrame([(0.8,), (None,), (float("nan"),)], "p double")
     got = [tuple(r) for r in scoring.prediction_table(rows, "p", 0.5).collect()]
     assert got == [(0.8, 1, "High"), (None, None, None), (None, None, None)]
+
+
+def test_campaign_targets_no_row_without_a_score(spark):
+    rows = [(0.9, 1), (0.1, 0), (float("nan"), 1), (None, 0), (0.85, None)]
+    out = impact.campaign_roi(spark.createDataFrame(rows, "p double, y int"), (0.05, 0.8)).collect()
+    assert {r["threshold"]: r["targeted"] for r in out} == {0.05: 3, 0.8: 2}

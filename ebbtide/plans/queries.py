@@ -500,14 +500,18 @@ def booster_properties(spark: SparkSession, folder: str) -> DataFrame:
         wrong = F.count_if((F.col("feature") < 0) & (F.col("rows") > 0) & (F.abs(F.col("value") - value) > 1e-12))
         shape = nodes.groupBy("tree").agg(F.count_if(F.col("feature") < 0).alias("leaves"), F.max("depth").alias("depth"), wrong.alias("wrong"))
         levels = nodes.where("feature >= 0").groupBy("tree", "depth").agg(F.countDistinct("feature", "cut").alias("conditions"))
-        mixed = levels.agg(F.count_if((F.col("conditions") > 1) & F.lit(how.policy == "symmetric")).alias("mixed_levels"))
+        mixed = levels.where("conditions > 1").count() if how.policy == "symmetric" else 0
         rises = sum(b >= a for a, b in zip(model.losses, model.losses[1:]))
         line = shape.agg(
             F.count(F.lit(1)).alias("trees"),
             F.count_if((F.col("leaves") > min(how.leaves, 1 << how.depth)) | (F.col("depth") > how.depth)).alias("too_large"),
             F.sum("wrong").alias("wrong_leaves"),
-        ).select(F.lit(name).alias("model"), "*", F.lit(rises).cast("long").alias("rounds_without_gain"))
-        line = line.join(mixed.withColumn("model", F.lit(name)), "model")
+        ).select(
+            F.lit(name).alias("model"),
+            "*",
+            F.lit(rises).cast("long").alias("rounds_without_gain"),
+            F.lit(mixed).cast("long").alias("mixed_levels"),
+        )
         out = line if out is None else out.unionByName(line)
     return out
 

@@ -31,11 +31,14 @@ TREES = ROUNDS = 200  # fixed values of the training run
 # One reading of the raw columns for training and for scoring: numbers as numbers (total
 # charges with the default when none is recorded) and the senior flag as text, whatever
 # the type of the source.
+_NUMBER = {  # the rule of ``bands.number``
+    c: f"nanvl(CASE WHEN CAST({c} AS STRING) NOT RLIKE r'[0-9.][dDfF]\\s*$' THEN try_cast({c} AS DOUBLE) END, CAST(NULL AS DOUBLE))"
+    for c in NUMERIC
+}
 _TYPED = (
     "SELECT * EXCEPT (tenure, MonthlyCharges, TotalCharges, SeniorCitizen), "
-    "try_cast(tenure AS DOUBLE) AS tenure, try_cast(MonthlyCharges AS DOUBLE) AS MonthlyCharges, "
-    "coalesce(try_cast(TotalCharges AS DOUBLE), try_cast(MonthlyCharges AS DOUBLE) * try_cast(tenure AS DOUBLE)) "
-    "AS TotalCharges, "
+    f"{_NUMBER['tenure']} AS tenure, {_NUMBER['MonthlyCharges']} AS MonthlyCharges, "
+    f"coalesce({_NUMBER['TotalCharges']}, {_NUMBER['MonthlyCharges']} * {_NUMBER['tenure']}) AS TotalCharges, "
     "CASE WHEN CAST(SeniorCitizen AS STRING) IN ('1', 'Yes') THEN 'Yes' "
     "WHEN CAST(SeniorCitizen AS STRING) IN ('0', 'No') THEN 'No' END AS SeniorCitizen FROM __THIS__"
 )

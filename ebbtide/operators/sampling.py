@@ -23,6 +23,11 @@ def is_test(key: str = ID, test_size: float = TEST_SIZE, seed: int = SEED) -> Co
     return F.substring(seeded_digest(key, seed), 1, 8) < F.lit(cut)
 
 
+def fold_of(folds: int, key: str = ID, seed: int = SEED) -> Column:
+    """Fold of a row, 0 to ``folds`` - 1, by other digits of the hash than the test part uses."""
+    return (F.conv(F.substring(seeded_digest(key, seed), 9, 8), 16, 10).cast("long") % folds).cast("int")
+
+
 def stratified_split(
     df: DataFrame, key: str = ID, test_size: float = TEST_SIZE, seed: int = SEED
 ) -> tuple[DataFrame, DataFrame]:

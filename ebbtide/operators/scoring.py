@@ -14,6 +14,7 @@ from ebbtide.schema import ID
 
 # The threshold used when none is stored.
 DEFAULT_THRESHOLDS = {"default": 0.5, "f1_threshold": 0.5, "business_threshold": 0.5}
+NO_SCORE = "No score for these values"
 _MODE_KEY = {"f1": "f1_threshold", "business": "business_threshold"}
 
 
@@ -45,12 +46,14 @@ def score_batch(df: DataFrame, threshold: float = 0.5, scorer: LinearScorer = MA
 def record_table(checked: DataFrame, probability: Column, threshold: float = 0.5) -> DataFrame:
     """customer_id, error, churn_probability, will_churn, risk_level of validated records.
 
-    A record that failed validation keeps its message in ``error`` and has no score.
+    A record that failed validation keeps its message in ``error`` and has no score. One whose
+    probability is null or NaN has none either, and ``error`` says so.
     """
-    scored = checked.withColumn("churn_probability", F.when(F.col("error").isNull(), probability))
+    known = F.nanvl(probability, F.lit(None).cast("double"))
+    scored = checked.withColumn("churn_probability", F.when(F.col("error").isNull(), known))
     return scored.select(
         "customer_id",
-        "error",
+        F.coalesce("error", F.when(F.col("churn_probability").isNull(), F.lit(NO_SCORE))).alias("error"),
         "churn_probability",
         (F.col("churn_probability") >= threshold).alias("will_churn"),
         risk_level("churn_probability").alias("risk_level"),

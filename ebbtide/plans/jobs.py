@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from ebbtide.functions.features import MODEL_COLUMNS
 from ebbtide.operators import attribution, cleaning, evaluation, models, sampling, segments
-from ebbtide.plans.training import MODELS, Selection, TrainingRun, prepare, train_and_select
+from ebbtide.operators.tree_explain import is_tree_model, shap_trees
+from ebbtide.plans.training import MODELS, Selection, TrainingRun, prepare, prepare_folds, select_out_of_fold, train_and_select
 from ebbtide.session import materialise
 from ebbtide.sources import files
 from ebbtide.sources.bundle import Bundle, load_bundle, save_bundle
@@ -37,10 +38,13 @@ def importance(run: TrainingRun, name: str) -> DataFrame:
 
 
 def contributions(run: TrainingRun, name: str, rows: int = 100, background: int = 50) -> DataFrame:
-    """Sampled Shapley values (row, feature, phi) of a candidate, for ``rows`` test rows.
+    """Shapley values (row, feature, phi) of a candidate, for ``rows`` test rows.
 
-    The values of a mean of models are the mean of their values.
+    Exact for a single tree model, sampled against ``background`` rows otherwise. The sampled
+    values of a mean of models are the mean of their values.
     """
+    if name != "vote" and is_tree_model(run.model(name)):
+        return shap_trees(run.model(name), sampling.preview(run.test, "row_key", rows), MODEL_COLUMNS)
     sample = sampling.preview(run.test, "row_key", rows)
     base = sampling.explain_sample(run.train, "row_key", background)
     return _mean([attribution.shap_sampled(m, sample, base, MODEL_COLUMNS) for m in _members(run, name)], "phi")
@@ -54,7 +58,7 @@ def save_run(run: TrainingRun, chosen: Selection, customers: DataFrame, folder:
     """
     spark, name = run.test.sparkSession, chosen.name
     save_bundle(spark, Bundle(run.preprocessing, _members(run, name), chosen.thresholds), f"{folder}/bundle")
-    files.write_metrics(chosen.metrics.where(F.col("model") == name), f"{folder}/metrics")
+    files.write_metrics(chosen.test_metrics, f"{folder}/metrics")
     frame = materialise(run.scores((name,)).select(F.col(f"p_{name}").alias("p"), "y"))
     files.write_curve(evaluation.roc_curve(frame), f"{folder}/roc")
     files.write_curve(evaluation.pr_curve(frame), f"{folder}/pr")
@@ -66,11 +70,17 @@ def save_run(run: TrainingRun, chosen: Selection, customers: DataFrame, folder:
     contributions(run, name, explained, background).write.mode("overwrite").parquet(f"{folder}/contributions")
 
 
-def train(spark: SparkSession, csv: str, folder: str, method: str = "smote", names: tuple[str, ...] = MODELS) -> Selection:
-    """Read, clean, split, balance, fit the candidates ``names``, keep the best by F1, save it."""
+def train(
+    spark: SparkSession, csv: str, folder: str, method: str = "smote", names: tuple[str, ...] = MODELS, folds: int = 0
+) -> Selection:
+    """Read, clean, split, balance, fit the candidates ``names``, keep the best by F1, save it.
+
+    With ``folds`` the choice and the thresholds come from out-of-fold scores of the training
+    part, else from the test part.
+    """
     customers = materialise(cleaning.clean_customers(files.read_customers(spark, csv)))
     run = prepare(customers, method)
-    chosen = train_and_select(run, names)
+    chosen = select_out_of_fold(run, prepare_folds(customers, folds, method), names) if folds else train_and_select(run, names)
     save_run(run, chosen, customers, folder)
     return chosen
 

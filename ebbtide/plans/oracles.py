@@ -352,6 +352,17 @@ put("validate_lenient", f"SELECT customerID, tenure, MonthlyCharges, Contract, {
 put("split_valid", f"SELECT coalesce(customerID, 'Unknown') AS customer_id, tenure, MonthlyCharges, Contract, {_LENIENT} AS error FROM req", REQUESTS)
 
 
+# Strict rules on bodies: an even tenure was sent as a number, any other as text.
+_BODY = f"""CASE WHEN {_T} = 7 THEN 'Expected a list of customer data' WHEN Contract IS NULL THEN 'Missing required fields: Contract'
+  WHEN {_T} IS NULL OR {_T} < 0 OR {_T} % 2 <> 0 THEN 'Tenure must be a non-negative number' ELSE {_STRICT} END"""
+put(
+    "validate_payloads",
+    f"""SELECT if({_T} = 7, 'Unknown', coalesce(customerID, 'Unknown')) AS customer_id, {_BODY} AS error,
+    if({_T} = 7, NULL, Contract) AS Contract FROM req""".replace(f"if({_T} = 7,", f"if(coalesce({_T} = 7, false),"),
+    REQUESTS,
+)
+
+
 def _verdict(name: str, source: str, strict: bool) -> str:
     checks = (
         (f"{_T} >= 0", "Tenure must be a non-negative number"),
@@ -382,6 +393,10 @@ put(
     REQUESTS,
 )
 SQL["score_stream"] = SQL["score_records"]
+SQL["score_payloads"] = SQL["score_records"].replace(
+    "AS customer_id, " + _LENIENT,
+    f"AS customer_id, CASE WHEN {_T} = 7 THEN 'Expected a list of customer data' ELSE {_LENIENT} END",
+).replace("coalesce(customerID, 'Unknown')", f"CASE WHEN {_T} = 7 THEN 'Unknown' ELSE coalesce(customerID, 'Unknown') END")
 
 # --- joins --------------------------------------------------------------------------------------
 COHORT = """
@@ -672,6 +687,30 @@ put(
 
 TRAIN = f"""
 tr AS (SELECT CAST(Churn AS DOUBLE) AS label, count(*) AS n FROM cl WHERE NOT substr({_HASH}, 1, 8) < '33333333' GROUP BY 1)"""
+TEST = f"""
+te AS (SELECT count(*) AS n FROM cl WHERE Churn IS NOT NULL AND substr({_HASH}, 1, 8) < '33333333')"""
+put(
+    "tree_contributions",
+    "SELECT model, n AS n_rows, 46 AS n_features, n AS adding_up FROM te, (VALUES ('gbt_leafwise'), ('random_forest')) AS v(model)",
+    CLEAN,
+    TEST,
+)
+put("tree_dependence", "SELECT member, 46 AS n_features, 0 AS broken, 46 AS last_steps FROM (VALUES (0), (1)) AS v(member)")
+put(
+    "out_of_fold_selection",
+    """SELECT model, CAST(n AS BIGINT) AS n_rows, CAST(n AS BIGINT) AS customers, 0 AS test_rows, true AS first_best
+    FROM (SELECT sum(n) AS n FROM tr), (VALUES ('logistic'), ('random_forest')) AS v(model)""",
+    CLEAN,
+    TRAIN,
+)
+put(
+    "score_records_gaps",
+    f"""SELECT gap, count(*) AS records, count(*) FILTER (WHERE {_LENIENT} IS NULL AND {_T} <> -1) AS valid, count(*) FILTER (WHERE {_LENIENT} IS NULL AND {_T} <> -1) AS scored,
+    count(*) FILTER (WHERE {_LENIENT} IS NULL AND {_T} <> -1) AS as_missing
+    FROM req, (VALUES ('NaN'), ('1.0d'), ('abc')) AS v(gap) WHERE customerID IS NOT NULL GROUP BY gap""",
+    REQUESTS,
+)
+put("median_sketch", "SELECT count(MonthlyCharges) AS n, true AS within, count(MonthlyCharges) AS sketched FROM sub")
 put("oversample_smote", "SELECT label, n AS before, (SELECT max(n) FROM tr) AS after FROM tr", CLEAN, TRAIN)
 put(
     "booster_properties",

@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,16 +20,18 @@ from ebbtide.operators import (
     impact,
     linear,
     models,
+    payloads,
     ranking,
     reports,
     sampling,
     scoring,
     segments,
+    tree_explain,
     validation,
 )
 from ebbtide.operators.models import FITTERS
 from ebbtide.operators.smote import balance, synthetic_rows
-from ebbtide.plans.training import TrainingRun, prepare, train_and_select
+from ebbtide.plans.training import TrainingRun, candidate_metrics, out_of_fold_scores, prepare, prepare_folds, train_and_select
 from ebbtide.schema import ID, NUMERIC, TARGET, quoted
 from ebbtide.session import materialise, shared_folder
 from ebbtide.sources import files
@@ -342,6 +344,20 @@ def median_charge(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(spark.range(1).select(F.lit(median).alias("median_charge")))
 
 
+@query("median_sketch")
+def median_sketch(spark: SparkSession, folder: str) -> DataFrame:
+    """The median charge from sketches stored per contract, and whether its rank is within 0.5 %."""
+    rows, path = subscribers(spark, folder), scratch(spark, "sketches")
+    ranking.median_sketches(rows, "MonthlyCharges", ("Contract",)).write.parquet(path)
+    stored = spark.read.parquet(path)
+    middle = ranking.merged_median(stored)
+    charge = F.col("MonthlyCharges")
+    return rows.agg(
+        F.count("MonthlyCharges").alias("n"),
+        ((F.count_if(charge < middle) <= 0.505 * F.count(charge)) & (F.count_if(charge <= middle) >= 0.495 * F.count(charge))).alias("within"),
+    ).crossJoin(F.broadcast(stored.agg(F.sum("n").alias("sketched"))))
+
+
 def scored_query(name: str, build: Callable[[DataFrame], DataFrame]) -> None:
     """A query over the evaluation frame (key, score, label)."""
     QUERIES[name] = lambda spark, folder: rounded(build(_scored(spark, folder)))
@@ -412,6 +428,29 @@ def score_records(spark: SparkSession, folder: str) -> DataFrame:
     return scoring.score_records(requests(spark, folder))
 
 
+def _payloads(spark: SparkSession, folder: str) -> DataFrame:
+    """Requests as written bodies: an even tenure is sent as a number in a list, any other as
+    text in an object, and a tenure of 7 as a body that is no JSON."""
+    rows, path = requests(spark, folder), scratch(spark, "bodies")
+    sent = {"tenure": F.col("tenure").try_cast("int"), "MonthlyCharges": F.col("MonthlyCharges").try_cast("double")}
+    typed = F.struct(*[sent.get(c, F.col(c)).alias(c) for c in rows.columns])
+    text = F.struct(*[F.col(c) if c == "tenure" else sent.get(c, F.col(c)).alias(c) for c in rows.columns])
+    body = F.when(sent["tenure"] == 7, "tenure=7").when(sent["tenure"] % 2 == 0, F.to_json(F.array(typed))).otherwise(F.to_json(text))
+    files.write_payloads(rows.select(body.alias("payload")), path)
+    return files.read_payloads(spark, path)
+
+
+@query("validate_payloads")
+def validate_payloads(spark: SparkSession, folder: str) -> DataFrame:
+    return payloads.checked_payloads(_payloads(spark, folder)).select("customer_id", "error", "Contract")
+
+
+@query("score_payloads")
+def score_payloads(spark: SparkSession, folder: str) -> DataFrame:
+    """Bodies read by the lenient rules score as the requests in them."""
+    return payloads.score_payloads(_payloads(spark, folder))
+
+
 @query("soft_vote")
 def soft_vote(spark: SparkSession, folder: str) -> DataFrame:
     rows = subscribers(spark, folder)
@@ -530,6 +569,66 @@ def select_trained(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("out_of_fold_selection")
+def out_of_fold_selection(spark: SparkSession, folder: str) -> DataFrame:
+    """What holds for a choice on three folds: rows scored per candidate, test rows among them,
+    and whether the one chosen is the first with the best F1."""
+    names = ("logistic", "random_forest")
+    scores = out_of_fold_scores(prepare_folds(clean(spark, folder), 3), names)
+    metrics = materialise(candidate_metrics(scores, names))
+    best = evaluation.select_best_model(metrics).first()["model"]
+    top = max(metrics.collect(), key=lambda r: (r["f1_score"], -r["position"]))["model"]
+    known = [F.count(F.nanvl(f"p_{n}", F.lit(None).cast("double"))).alias(n) for n in names]
+    counts = scores.agg(*known, F.countDistinct("row_key").alias("customers"), F.count_if(sampling.is_test("row_key")).alias("test_rows"))
+    lines = F.explode(F.array(*[F.struct(F.lit(n).alias("model"), F.col(n).alias("n_rows")) for n in names]))
+    return counts.select(lines.alias("l"), "customers", "test_rows").select("l.*", "customers", "test_rows", F.lit(best == top).alias("first_best"))
+
+
+def _short_trees(run: TrainingRun) -> dict[str, models.Classifier]:
+    """Tree models of few rounds, fitted once per run."""
+    fitters = {"gbt_leafwise": models.fit_gbt_leafwise, "random_forest": models.fit_random_forest}
+    for name, fit in fitters.items():
+        if f"short_{name}" not in run.fitted:
+            run.fitted[f"short_{name}"] = fit(run.balanced, PROPERTY_ROUNDS)
+    return {name: run.fitted[f"short_{name}"] for name in fitters}
+
+
+@query("tree_contributions")
+def tree_contributions(spark: SparkSession, folder: str) -> DataFrame:
+    """Exact Shapley values of every test row: rows, features, and rows whose values add up to
+    the model's output minus its expected output."""
+    run, out = training_run(spark, folder), None
+    for name, model in _short_trees(run).items():
+        boxes = materialise(tree_explain.leaf_boxes(tree_explain.node_table(spark, model)))
+        phi = tree_explain.shap_trees(model, run.test, features.MODEL_COLUMNS, boxes=boxes)
+        total = phi.groupBy(F.col("row").alias("row_key")).agg(F.sum("phi").alias("phi"), F.countDistinct("feature").alias("n_seen"))
+        p = F.col("p")
+        output = (p if name == "random_forest" else F.log(p / (1 - p))) - tree_explain.expected_output(model, boxes)
+        met = models.churn_probability(run.test, model).join(total, "row_key")
+        line = met.agg(
+            F.count(F.lit(1)).alias("n_rows"),
+            F.max("n_seen").alias("n_features"),
+            F.count_if(F.abs(output - F.col("phi")) < 1e-8).alias("adding_up"),
+        ).select(F.lit(name).alias("model"), "*")
+        out = line if out is None else out.unionByName(line)
+    return out
+
+
+@query("tree_dependence")
+def tree_dependence(spark: SparkSession, folder: str) -> DataFrame:
+    """Partial dependence of a bundle's tree models over their whole range: features, and steps
+    that do not begin where the one before ends."""
+    run = training_run(spark, folder)
+    made = Bundle(run.preprocessing, tuple(_short_trees(run).values()), {})
+    order = Window.partitionBy("member", "feature").orderBy("low")
+    steps = made.dependence(spark).withColumn("_end", F.lag("high").over(order))
+    return steps.groupBy("member").agg(
+        F.countDistinct("feature").alias("n_features"),
+        F.count_if(F.col("low") != F.coalesce("_end", F.lit(float("-inf")))).alias("broken"),
+        F.count_if(F.col("high") == float("inf")).alias("last_steps"),
+    )
+
+
 @query("feature_importance")
 def feature_importance(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(models.feature_importance(spark, training_run(spark, folder).model("random_forest")))
@@ -551,6 +650,28 @@ def score_records_bundle(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(made.score_records(requests(spark, folder)))
 
 
+@query("score_records_gaps")
+def score_records_gaps(spark: SparkSession, folder: str) -> DataFrame:
+    """Total charges that are no number score as missing ones do: records, valid ones, those
+    with a score, and those with the score of a record without total charges. A tenure of -1
+    has no charge per month, so such a record has no score."""
+    run = training_run(spark, folder)
+    made = Bundle(run.preprocessing, (run.model("logistic"),), {})
+    rows = materialise(requests(spark, folder).where("customerID IS NOT NULL"))
+    absent = made.score_records(rows.withColumn("TotalCharges", F.lit(None).cast("string"))).select("customer_id", F.col("churn_probability").alias("_absent"))
+    out = None
+    for gap in ("NaN", "1.0d", "abc"):
+        scored = made.score_records(rows.withColumn("TotalCharges", F.lit(gap))).join(absent, "customer_id")
+        line = scored.agg(
+            F.count(F.lit(1)).alias("records"),
+            F.count_if(F.col("error").isNull()).alias("valid"),
+            F.count("churn_probability").alias("scored"),
+            F.count_if(F.abs(F.col("churn_probability") - F.col("_absent")) < 1e-12).alias("as_missing"),
+        ).select(F.lit(gap).alias("gap"), "*")
+        out = line if out is None else out.unionByName(line)
+    return out
+
+
 @query("oversample_smote")
 def oversample_smote(spark: SparkSession, folder: str) -> DataFrame:
     """Class sizes of the training part before and after."""

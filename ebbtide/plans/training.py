@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
@@ -11,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ebbtide.operators import evaluation, models
-from ebbtide.operators.sampling import stratified_split
+from ebbtide.operators.sampling import fold_of, stratified_split
 from ebbtide.operators.smote import balance
 from ebbtide.schema import ID, TARGET
 from ebbtide.session import materialise, shared_folder
@@ -37,8 +39,15 @@ class TrainingRun:
     def fit_all(self, names: tuple[str, ...] = MODELS, at_once: int = 6) -> None:
         """Fit what is missing of ``names``, a few models at a time: their small stages overlap."""
         wanted = [m for m in models.FITTERS if m in names or ("vote" in names and m in models.VOTERS)]
+        context = self.train.sparkSession.sparkContext
+
+        def fit(name: str) -> None:
+            # Under the fair scheduler every candidate has a pool of its own.
+            context.setLocalProperty("spark.scheduler.pool", name)
+            self.model(name)
+
         with ThreadPoolExecutor(at_once) as pool:
-            list(pool.map(self.model, wanted))
+            list(pool.map(fit, wanted))
 
     def scores(self, names: tuple[str, ...], frame: DataFrame | None = None) -> DataFrame:
         """key, label and one column ``p_<model>`` each, in one pass over the rows."""
@@ -55,21 +64,42 @@ class TrainingRun:
 
     def metrics(self, names: tuple[str, ...] = MODELS) -> DataFrame:
         """The six quality numbers on the test part, one row per model, in one job."""
-        entries = [
-            F.struct(F.lit(MODELS.index(n)).alias("position"), F.lit(n).alias("model"), F.col(f"p_{n}").alias("p"))
-            for n in names
-        ]
-        long = self.scores(names).select("y", F.explode(F.array(*entries)).alias("e")).select("y", "e.*")
-        return evaluation.evaluate_model(long, by=("position", "model"))
+        return candidate_metrics(self.scores(names), names)
+
+
+def candidate_metrics(scores: DataFrame, names: tuple[str, ...]) -> DataFrame:
+    """The six quality numbers of the columns ``p_<model>``, one row per model, in one job."""
+    entries = [
+        F.struct(F.lit(MODELS.index(n)).alias("position"), F.lit(n).alias("model"), F.col(f"p_{n}").alias("p"))
+        for n in names
+    ]
+    long = scores.select("y", F.explode(F.array(*entries)).alias("e")).select("y", "e.*")
+    return evaluation.evaluate_model(long, by=("position", "model"))
 
 
 def prepare(clean: DataFrame, method: str = "smote") -> TrainingRun:
     """Split a cleaned table, fit the preprocessing on the training part and balance it."""
-    context = clean.sparkSession.sparkContext
+    return _prepared(*stratified_split(clean), method)
+
+
+def prepare_folds(clean: DataFrame, folds: int, method: str = "smote") -> list[TrainingRun]:
+    """One run per fold of the training part of ``clean``: preprocessing, balancing and models
+    know the other folds only, and its test part is the fold. Test rows are in none of them.
+
+    Folds go by a hash of the key, so copies of a customer share one.
+    """
+    if folds < 2:
+        raise ValueError("at least two folds")
+    train = materialise(stratified_split(clean)[0].withColumn("_fold", fold_of(folds)))
+    parts = [(train.where(F.col("_fold") != i).drop("_fold"), train.where(F.col("_fold") == i).drop("_fold")) for i in range(folds)]
+    return [_prepared(rest, fold, method) for rest, fold in parts]
+
+
+def _prepared(train: DataFrame, test: DataFrame, method: str) -> TrainingRun:
+    context = train.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         # Boosting cuts its lineage with checkpoints when a folder is known.
-        context.setCheckpointDir(shared_folder(clean.sparkSession))
-    train, test = stratified_split(clean)
+        context.setCheckpointDir(shared_folder(train.sparkSession))
     preprocessing, _ = models.fit_preprocessing(train)
 
     def encoded(part: DataFrame) -> DataFrame:
@@ -86,14 +116,36 @@ def prepare(clean: DataFrame, method: str = "smote") -> TrainingRun:
 @dataclass(frozen=True)
 class Selection:
     name: str
-    metrics: DataFrame
+    metrics: DataFrame  # of every candidate, on the rows they were compared on
     thresholds: dict[str, float]
+    test_metrics: DataFrame  # of the chosen one, on the test part
+
+
+def out_of_fold_scores(folds: Sequence[TrainingRun], names: tuple[str, ...] = MODELS) -> DataFrame:
+    """row_key, y and ``p_<model>`` of every training row, from models that did not see its fold."""
+    for fold in folds:
+        fold.fit_all(names)
+    return materialise(reduce(DataFrame.unionByName, [fold.scores(names) for fold in folds]))
+
+
+def select_out_of_fold(run: TrainingRun, folds: Sequence[TrainingRun], names: tuple[str, ...] = MODELS) -> Selection:
+    """Choose the candidate and its thresholds on out-of-fold scores of the training part.
+
+    The chosen one is then fitted on the whole training part; the test part is used for its
+    reported quality alone.
+    """
+    scores = out_of_fold_scores(folds, names)
+    metrics = materialise(candidate_metrics(scores, names))
+    best = evaluation.select_best_model(metrics).first()["model"]
+    thresholds = evaluation.best_thresholds(scores.select(F.col(f"p_{best}").alias("p"), "y"))
+    run.fit_all((best,))
+    return Selection(best, metrics, thresholds, materialise(run.metrics((best,))))
 
 
 def train_and_select(run: TrainingRun, names: tuple[str, ...] = MODELS) -> Selection:
-    """Fit the candidates, keep the best by F1 and find its two thresholds."""
+    """Fit the candidates, keep the best by F1 and find its two thresholds, all on the test part."""
     run.fit_all(names)
     metrics = materialise(run.metrics(names))
     best = evaluation.select_best_model(metrics).first()["model"]
     frame = run.scores((best,)).select(F.col(f"p_{best}").alias("p"), "y")
-    return Selection(best, metrics, evaluation.best_thresholds(frame))
+    return Selection(best, metrics, evaluation.best_thresholds(frame), metrics.where(F.col("model") == best))

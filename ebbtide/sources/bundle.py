@@ -5,16 +5,20 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from ebbtide.functions.features import MODEL_COLUMNS
+from ebbtide.operators import tree_explain
 from ebbtide.operators.boosting import BoostedTrees
-from ebbtide.operators.models import Classifier, churn_probability, conform
+from ebbtide.operators.models import Classifier, churn_probability, conform, scaled_name
 from ebbtide.operators.scoring import DEFAULT_THRESHOLDS, choose_threshold, prediction_table, record_table
 from ebbtide.operators.validation import split_valid
+from ebbtide.schema import ID, quoted
 
 
 @dataclass(frozen=True)
@@ -40,6 +44,27 @@ class Bundle:
         frame = self._with_probability(split_valid(requests, strict=False))
         return record_table(frame, F.col("_p"), choose_threshold(self.thresholds, mode))
 
+    def contributions(self, customers: DataFrame) -> DataFrame:
+        """(member, row, feature, phi): exact Shapley values of every tree model of the bundle for
+        raw customer rows, by ``customerID``. Log odds, for a forest probability."""
+        frame = self.preprocessing.transform(conform(customers)).select(ID, "features")
+        found = [tree_explain.shap_trees(m, frame, MODEL_COLUMNS, ID).select(F.lit(i).alias("member"), "*") for i, m in enumerate(self.classifiers)]
+        return reduce(DataFrame.unionByName, found)
+
+    def dependence(self, spark: SparkSession) -> DataFrame:
+        """(member, feature, low, high, dependence): partial dependence of every tree model of the
+        bundle, its cuts in the units of the unscaled model columns."""
+        steps = [
+            tree_explain.dependence_steps(m, spark, MODEL_COLUMNS).select(F.lit(i).alias("member"), "*") for i, m in enumerate(self.classifiers)
+        ]
+        # The scaler is read off what its stage makes of a 0 and a 1 in every column.
+        probe = spark.range(2).select(*[F.col("id").cast("double").alias(c) for c in MODEL_COLUMNS])
+        ends = self.preprocessing.stages[-2].transform(probe).select([F.col(quoted(scaled_name(c))) for c in MODEL_COLUMNS]).collect()
+        zero, one = sorted(map(tuple, ends), key=sum)
+        units = spark.createDataFrame([(c, a, b - a) for c, a, b in zip(MODEL_COLUMNS, zero, one)], "feature string, zero double, unit double")
+        raw = {end: (F.col(end) - F.col("zero")) / F.col("unit") for end in ("low", "high")}
+        return reduce(DataFrame.unionByName, steps).join(F.broadcast(units), "feature").withColumns(raw).select("member", "feature", "low", "high", "dependence")
+
 
 _MANIFEST = "version string, classifiers array<string>, thresholds map<string, double>"
 

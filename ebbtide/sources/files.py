@@ -50,6 +50,15 @@ def write_requests(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
+def read_payloads(spark: SparkSession, path: str, lines: bool = True) -> DataFrame:
+    """Request bodies as text in column ``payload``, one per line or one per file, unparsed."""
+    return spark.read.text(path, wholetext=not lines).withColumnRenamed("value", "payload")
+
+
+def write_payloads(payloads: DataFrame, path: str) -> None:
+    payloads.select("payload").write.mode("overwrite").text(path)
+
+
 def write_predictions(predictions: DataFrame, path: str) -> None:
     write_csv(predictions, path)
 

@@ -7,9 +7,10 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from ebbtide.functions.features import MODEL_COLUMNS
-from ebbtide.operators import attribution, models, sampling
+from ebbtide.operators import attribution, models, sampling, scoring
 from ebbtide.plans import jobs, training
 from ebbtide.plans.queries import clean, scratch
+from ebbtide.session import materialise
 from ebbtide.sources import files
 from ebbtide.sources import bundle as bundles
 from ebbtide.sources.bundle import Bundle, load_bundle, load_thresholds, save_bundle
@@ -178,3 +179,49 @@ def test_bundle_is_committed_as_a_whole(spark, run, monkeypatch):
     save_bundle(spark, new, path)
     now = load_bundle(spark, path)
     assert now.thresholds["f1_threshold"] == 0.9 and type(now.classifiers[0]).__name__ == "BoostedTrees"
+
+
+def test_test_rows_influence_neither_choice_nor_thresholds(spark, folder):
+    table = materialise(clean(spark, folder))
+    flipped = table.withColumn("Churn", F.when(sampling.is_test(), 1 - F.col("Churn")).otherwise(F.col("Churn")))
+    names = ("logistic", "random_forest")
+    found = [training.select_out_of_fold(training.prepare(t), training.prepare_folds(t, 2), names) for t in (table, flipped)]
+    assert found[0].name == found[1].name and found[0].thresholds == found[1].thresholds
+    tables = [[tuple(r) for r in c.metrics.orderBy("position").collect()] for c in found]
+    assert tables[0] == tables[1] and [r[1] for r in tables[0]] == list(names)
+    held = [c.test_metrics.collect() for c in found]
+    assert [[r["model"] for r in h] for h in held] == 2 * [[found[0].name]] and held[0][0]["roc_auc"] != held[1][0]["roc_auc"]
+
+
+def test_folds_share_no_customer_and_cover_the_training_part(spark, folder):
+    table = clean(spark, folder)
+    folds = [f.test.select("row_key").toPandas()["row_key"].tolist() for f in training.prepare_folds(table, 3)]
+    train, _ = sampling.stratified_split(table)
+    assert sorted(sum(folds, [])) == sorted(r[0] for r in train.select("customerID").collect())
+    with pytest.raises(ValueError, match="two folds"):
+        training.prepare_folds(table, 1)
+
+
+def test_bundle_explains_raw_rows_in_raw_units(spark, folder, run):
+    made = Bundle(run.preprocessing, (run.model("gbt_leafwise"), run.model("random_forest")), {})
+    rows = subscribers(spark, folder)
+    phi = made.contributions(rows).groupBy("member", "row").agg(F.count("phi").alias("n"))
+    assert {(r["member"], r["n"]) for r in phi.collect()} == {(0, 46), (1, 46)} and phi.count() == 2 * rows.count()
+    steps = made.dependence(spark)
+    cuts = steps.where("feature = 'tenure' and low > double('-inf')").select("low").distinct().collect()
+    # Cuts lie between months of the rows, synthetic ones included.
+    assert cuts and all(0 < r["low"] < 72 for r in cuts)
+    ends = steps.where("feature = 'Contract_Two year'").agg(F.min("high"), F.max("low")).first()
+    assert all(v in (float("inf"), float("-inf")) or 0 <= round(v, 9) <= 1 for v in ends)
+
+
+def test_records_without_a_probability_say_so(spark, folder, run):
+    made = Bundle(run.preprocessing, (run.model("random_forest"),), {})
+    rows = requests(spark, folder).where("customerID is not null").limit(20)
+    good = made.score_records(rows.withColumn("TotalCharges", F.lit(None).cast("string"))).orderBy("customer_id").collect()
+    for gap in ("NaN", "1.0d", "abc"):
+        assert made.score_records(rows.withColumn("TotalCharges", F.lit(gap))).orderBy("customer_id").collect() == good
+    frame = spark.createDataFrame([("a", None, float("nan")), ("b", None, None), ("c", "bad", 0.9), ("d", None, 0.9)], "customer_id string, error string, p double")
+    got = {r["customer_id"]: tuple(r)[1:] for r in scoring.record_table(frame, F.col("p")).collect()}
+    none = (scoring.NO_SCORE, None, None, None)
+    assert got == {"a": none, "b": none, "c": ("bad", None, None, None), "d": (None, 0.9, True, "High")}

@@ -44,9 +44,20 @@ def test_median_of_nothing(spark):
     assert ranking.exact_median(spark.createDataFrame([(None,)], "v double"), "v") is None
 
 
-def test_approximate_median_is_close(spark):
-    df = spark.range(1001).select(F.col("id").cast("double").alias("v"))
-    assert ranking.approximate_median(df, "v") == pytest.approx(500, abs=1)
+@pytest.mark.parametrize("parts", [1, 7, 60])
+def test_median_of_merged_sketches_has_the_right_rank(spark, parts):
+    n = 60_001
+    df = spark.range(n).select((F.col("id") * 7919 % n).cast("double").alias("v"), (F.col("id") % parts).alias("part"))
+    stored = ranking.median_sketches(df, "v", ("part",))
+    assert stored.agg(F.sum("n")).first()[0] == n
+    assert abs(ranking.merged_median(stored) / n - 0.5) < 0.005
+
+
+def test_median_sketch_without_values(spark):
+    gaps = spark.createDataFrame([("a", None), ("b", float("nan")), ("b", 3.0)], "part string, v double")
+    assert ranking.merged_median(ranking.median_sketches(gaps, "v", ("part",))) == 3.0
+    assert ranking.merged_median(ranking.median_sketches(gaps.where("v is null"), "v", ("part",))) is None
+    assert ranking.merged_median(ranking.median_sketches(gaps.where("v is null"), "v")) is None
 
 
 @pytest.mark.parametrize("n", [0, 1, 250, 999, 1000, 1200])

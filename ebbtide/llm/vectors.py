@@ -33,9 +33,22 @@ def _rotation(dims: int) -> np.ndarray:
 def _unit(column: pa.Array) -> np.ndarray:
     flat = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     rows = np.asarray(flat.flatten(), dtype=np.float64).reshape(len(flat), -1) if len(flat) else np.zeros((0, 1))
+    # Divided by the largest component first: squares of very large or small ones leave the range of doubles.
+    largest = np.abs(rows).max(axis=1, keepdims=True) if rows.size else np.ones((len(rows), 1))
+    rows = rows / np.where(largest > 0, largest, 1)
     return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-300)
 
 
+def _share(least: float, dims: int, size: int) -> float:
+    """Squared distance up to which a block of ``size`` coordinates keeps a pair, rounding included."""
+    return (2 - 2 * least) * size / dims + _SLACK
+
+
+def _turned(unit: np.ndarray) -> np.ndarray:
+    """Rotated vectors; each row's bits are the same whatever rows stand beside it."""
+    return np.einsum("ij,jk->ik", unit, _rotation(unit.shape[1]), optimize=False)
+
+
 def _cells(least: float):
     """Home cell and lower neighbour of every vector, in every block."""
 
@@ -46,10 +59,10 @@ def _cells(least: float):
             by_dims = np.array([len(x) for x in b.column("vector").to_pylist()])
             for dims in np.unique(by_dims):
                 own = b.take(pa.array(np.flatnonzero(by_dims == dims)))
-                turned = _unit(own.column("vector")) @ _rotation(dims)
+                turned = _turned(_unit(own.column("vector")))
                 for block, at in enumerate(range(0, dims, BLOCK_DIMS)):
-                    share = min(BLOCK_DIMS, dims - at) / dims
-                    radius = np.sqrt((2 - 2 * least) * share) + _SLACK
+                    # No narrower than the root of the share, so a pair within it lies at most one cell apart.
+                    radius = np.sqrt(_share(least, dims, min(BLOCK_DIMS, dims - at))) * (1 + 1e-9)
                     cell = np.floor(turned[:, at] / radius).astype(np.int32)
                     for home in (True, False):
                         n = own.num_rows
@@ -72,7 +85,7 @@ def _compare(least: float):
         block, (first, second) = group.column("block")[0].as_py(), (group.column(x)[0].as_py() for x in ("part_a", "part_b"))
         exact = _unit(group.column("vector"))
         dims = exact.shape[1]
-        turned = exact @ _rotation(dims)
+        turned = _turned(exact)
         degree, parent = np.zeros(len(ids), np.int64), np.arange(len(ids))
         left, right = np.flatnonzero(part == first), np.flatnonzero(part == second)
 
@@ -80,7 +93,7 @@ def _compare(least: float):
             at = b * BLOCK_DIMS
             size = min(BLOCK_DIMS, dims - at)
             gap = turned[i, at : at + size] - turned[j, at : at + size]
-            return np.einsum("ij,ij->i", gap, gap) <= (2 - 2 * least) * size / dims + _SLACK
+            return np.einsum("ij,ij->i", gap, gap) <= _share(least, dims, size)
 
         def root(x: int) -> int:
             while parent[x] != x:
@@ -91,7 +104,7 @@ def _compare(least: float):
         at, size = block * BLOCK_DIMS, min(BLOCK_DIMS, dims - block * BLOCK_DIMS)
         sub = turned[:, at : at + size]
         norm = np.einsum("ij,ij->i", sub, sub)
-        budget = (2 - 2 * least) * size / dims + _SLACK
+        budget = _share(least, dims, size)
         for start in range(0, len(left), 512):
             rows = left[start : start + 512]
             near = norm[rows, None] + norm[right] - 2 * sub[rows] @ sub[right].T <= budget + _SLACK

@@ -1,7 +1,8 @@
 """Benchmark decontamination: passages as queries against a BM25 index of the test items.
 
 The index holds a block of at most ``INDEX_ITEMS`` items, or ``INDEX_BYTES`` of text, at a time, so its size is bounded whatever the
-benchmark; documents pass by each block. An item's BM25 weights are divided by the score that
+benchmark; documents pass by each block. Document frequencies and the mean length are those of the
+whole benchmark, so scores do not depend on the blocks. An item's BM25 weights are divided by the score that
 its own text gets, so one threshold serves all items. Items lie in groups; the largest weight of
 a term in each group bounds the score of all its items. A passage is a window of twice the
 longest item, every item length, so that any occurrence lies inside one. Groups whose bound for a
@@ -43,7 +44,7 @@ _CLASSES[[*range(ord("0"), ord("9") + 1), *range(ord("a"), ord("z") + 1), *range
 
 @dataclass
 class Index:
-    ids: list[int]
+    ids: list[int | None]
     terms: np.ndarray  # sorted hashes
     bounds: np.ndarray  # terms x groups: largest weight of the group's items
     weights: np.ndarray  # terms x items
@@ -55,10 +56,22 @@ class Index:
     longest: int
 
 
-def build_index(items: list[tuple[int, bytes]]) -> Index | None:
-    """BM25 weights of a bounded block of items; None if none has words."""
+@dataclass
+class Statistics:
+    """Of the items with ``LEAST_WORDS`` words or more of a benchmark."""
+
+    items: int
+    mean: float
+    found: dict[int, int]  # items that hold a word, at least for the words of the block at hand
+
+
+def build_index(items: list[tuple[int | None, bytes]], statistics: Statistics | None = None) -> Index | None:
+    """BM25 weights of a bounded block of items; None if none has words.
+
+    Without ``statistics`` the block is the whole benchmark.
+    """
     words = [v[a:b] for _, v, o in hashed([t for _, t in items], _CLASSES) for a, b in zip(o[:-1], o[1:], strict=True)]
-    named = [(i, w) for (i, _), w in zip(items, words, strict=True) if i is not None and len(w)]
+    named = [(i, w) for (i, _), w in zip(items, words, strict=True) if len(w)]
     if not named:
         return None
     kept = [x for x in named if len(x[1]) >= LEAST_WORDS]
@@ -70,8 +83,11 @@ def build_index(items: list[tuple[int, bytes]]) -> Index | None:
     if not kept:
         return Index(ids, np.zeros(0, np.uint64), None, None, [], [], [], [], short, 0)
     terms, found = np.unique(np.concatenate([np.unique(w) for _, w in kept]), return_counts=True)
-    idf = np.log(1 + (len(kept) - found + 0.5) / (found + 0.5))
-    mean = np.mean([len(w) for _, w in kept])
+    total, mean = len(kept), np.mean([len(w) for _, w in kept])
+    if statistics is not None:
+        total, mean = statistics.items, statistics.mean
+        found = np.array([statistics.found[t] for t in terms.tolist()])
+    idf = np.log(1 + (total - found + 0.5) / (found + 0.5))
     index = Index(ids, terms, None, np.zeros((len(terms), len(kept)), np.float32), [], [], [w for _, w in kept], [], short, max(len(w) for _, w in kept))
     for k, (_, w) in enumerate(kept):
         own, tf = np.unique(w, return_counts=True)
@@ -158,13 +174,13 @@ def _search(words: np.ndarray, offsets: np.ndarray, index: Index) -> Iterator[tu
         some = begin[lo : lo + 8192]
         last = end[min(lo + 8192, len(begin)) - 1]
         bound = np.add.reduceat(index.bounds[term[some[0] : last]], some - some[0], axis=0)
-        for w, g in zip(*np.nonzero(bound >= SCORE), strict=True):
+        for w, g in zip(*np.nonzero(bound >= SCORE - 1e-4), strict=True):
             present = term[begin[lo + w] : end[lo + w]]
             number = window[begin[lo + w]]
             d = int(np.searchsorted(base, number, side="right") - 1)
             start = offsets[d] + (number - base[d]) * step
             grams = None
-            scores = index.weights[present, g * GROUP : (g + 1) * GROUP].sum(axis=0)
+            scores = index.weights[present, g * GROUP : (g + 1) * GROUP].sum(axis=0, dtype=np.float64)
             for k, score in ((g * GROUP + j, scores[j]) for j in np.flatnonzero(scores >= SCORE)):
                 if grams is None:
                     passage = words[start : min(start + 2 * step, offsets[d + 1])]
@@ -198,17 +214,37 @@ def _passages(index: Index):
     return find
 
 
-def _blocks(items: DataFrame) -> Iterator[list[tuple[int, bytes]]]:
-    block: list[tuple[int, bytes]] = []
+def _item_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Number of words and distinct words of the items that are not short."""
+    for b in batches:
+        found = [v[x:y] for _, v, o in hashed(texts_of(b.column(1)), _CLASSES) for x, y in zip(o[:-1], o[1:], strict=True)]
+        some = [k for k, w in enumerate(found) if len(w) >= LEAST_WORDS]
+        if some:
+            arrays = [b.column(0).take(pa.array(some)), pa.array([len(found[k]) for k in some], pa.int64()),
+                      pa.array([np.unique(found[k]).view(np.int64) for k in some], pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(arrays, names=["row", "n", "words"])
+
+
+def _blocks(items: DataFrame) -> Iterator[tuple[list[tuple[int | None, bytes]], Statistics]]:
+    """Blocks of the items in order of item_id, with what the whole benchmark says about their words."""
+    numbered = keyed(items.select(F.col("item_id").cast("long"), F.col("text").cast("string")))
+    sheet = materialise(numbered.select("row", "doc.text").mapInArrow(_item_words, "row long, n long, words array<long>"))
+    held = sheet.agg(F.count(F.lit(1)), F.sum("n")).first()
+    each = sheet.select("row", F.explode("words").alias("word"))
+    often = materialise(each.groupBy("word").agg(F.count(F.lit(1)).alias("found")))
+    known = narrow(each, often, "word").groupBy("row").agg(F.collect_list(F.struct("word", "found")).alias("known"))
+    block: list[tuple[int | None, bytes]] = []
+    found: dict[int, int] = {}
     size = 0
-    for r in items.select(F.col("item_id").cast("long"), F.col("text").cast("string")).orderBy("item_id").toLocalIterator():
+    for r in numbered.join(known, "row", "left").orderBy("doc.item_id", "row").select("doc.item_id", "doc.text", "known").toLocalIterator():
         block.append((r[0], (r[1] or "").encode()))
+        found |= {word % (1 << 64): n for word, n in r[2] or []}
         size += len(block[-1][1])
         if len(block) == INDEX_ITEMS or size >= INDEX_BYTES:
-            yield block
-            block, size = [], 0
+            yield block, Statistics(held[0], held[1] / held[0] if held[0] else 0.0, found)
+            block, found, size = [], {}, 0
     if block:
-        yield block
+        yield block, Statistics(held[0], held[1] / held[0] if held[0] else 0.0, found)
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -218,13 +254,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     question_overlap, answer_overlap (share of n-grams, or of words in order); of several passages
     the best. Items with fewer than ``LEAST_WORDS`` words stand in a text only with all their words
     together, be it one; passage is then their place, and the shares are 1. Null and empty texts
-    leak nothing; items without an id or without words are not searched for; repeated rows each
-    give their rows; other columns are ignored.
+    leak nothing; items without words are not searched for, those without an id come with a null
+    item_id; repeated rows each give their rows; other columns are ignored.
     """
     slim = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     out = docs.sparkSession.createDataFrame([], _FOUND)
-    for block in _blocks(benchmark):
-        if (index := build_index(block)) is not None:
+    for block, statistics in _blocks(benchmark):
+        if (index := build_index(block, statistics)) is not None:
             out = out.union(slim.mapInArrow(_passages(index), _FOUND))
     return out
 

@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ebbtide.llm import sums
 from ebbtide.llm.common import chunks, materialise, runs, table, texts_of
@@ -175,16 +176,17 @@ def fit(docs: DataFrame, labels: DataFrame, vectors: np.ndarray, sample: int = S
 
 
 def scored(docs: DataFrame, vectors: np.ndarray, network: Network) -> DataFrame:
-    """``docs`` with ``quality_score_`` (double, 0 to 1), in one pass and without a shuffle."""
+    """Every row of ``docs`` as ``doc``, whatever its columns are called, and ``score`` (double, 0 to
+    1), in one pass and without a shuffle."""
     at = docs.columns.index("text")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            s = network.score(pooled(texts_of(b.column(at)), vectors).astype(np.float64))
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s)], names=[*b.schema.names, "quality_score_"])
+            s = network.score(pooled(texts_of(b.column(0).flatten()[at]), vectors).astype(np.float64))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s)], names=["doc", "score"])
 
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(score, f"{ddl}, quality_score_ double")
+    whole = docs.select(F.struct("*").alias("doc"))
+    return whole.mapInArrow(score, T.StructType([whole.schema["doc"], T.StructField("score", T.DoubleType())]))
 
 
 def classify_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -196,18 +198,20 @@ def classify_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """
     slim = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     vectors = word_vectors(slim)
-    out = scored(slim, vectors, fit(slim, labels, vectors))
-    return out.select(
-        "doc_id", F.coalesce(fold(F.col("doc_id"), 4) == 2, F.lit(False)).alias("held_out"),
-        F.col("quality_score_").alias("score"), (F.col("quality_score_") >= ACCEPT).cast("int").alias("predicted"),
-    )
+    out = scored(slim, vectors, fit(slim, labels, vectors)).select("doc.doc_id", "score")
+    held_out = F.coalesce(fold(F.col("doc_id"), 4) == 2, F.lit(False))
+    return out.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= ACCEPT).cast("int").alias("predicted"))
 
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose score reaches ``ACCEPT``, with their columns."""
+    """The rows of ``docs`` whose score reaches ``ACCEPT``, with their columns.
+
+    Each row is judged by its own text: a doc_id may be null or stand for several texts. Null and
+    empty texts have the score of a document without words. Without labels no row is kept.
+    """
     slim = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     vectors = word_vectors(slim)
-    return scored(docs, vectors, fit(slim, labels, vectors)).where(F.col("quality_score_") >= ACCEPT).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return scored(docs, vectors, fit(slim, labels, vectors)).where(F.col("score") >= ACCEPT).select("doc.*")
 
 
 def op5_random_indexing_quality(spark, folder: str) -> DataFrame:

@@ -113,6 +113,85 @@ def test_crowded_cells_are_cut(spark, monkeypatch):
     assert sorted(vectors.near_vectors(frame).collect()) == whole
 
 
+def vector_pair(dims, share, over, block):
+    """Unit vectors whose squared distance is ``share + over`` in one rotated block, in its first coordinate
+    from just below zero upwards, more than the share in all blocks before, and less in the last."""
+    size, low, a, b = vectors.BLOCK_DIMS, -2e-7, np.zeros(dims), np.zeros(dims)
+    for k in range(block):
+        a[size * k + 1], b[size * k + 1] = -math.sqrt(share * 1.001 + 2e-6) / 2, math.sqrt(share * 1.001 + 2e-6) / 2
+    a[size * block], b[size * block] = low, math.sqrt(share + over) + low
+    a[-1], b[-1] = -math.sqrt(share * 0.8) / 2, math.sqrt(share * 0.8) / 2
+    a[-2], b[-2] = math.sqrt(1 - a @ a), math.sqrt(1 - b @ b)
+    turn = vectors._rotation(dims)
+    return (turn @ a).tolist(), (turn @ b).tolist()
+
+
+@pytest.mark.parametrize("dims", [16, 64])
+def test_links_at_the_border_of_a_block(spark, dims):
+    """Distances around a block's share of the budget: no pair is lost between two cells."""
+    share, rows, want = (2 - 2 * 0.93) * 8 / dims, [], {}
+    for k, over in enumerate([-1e-6, 0, 1e-7, 5e-7, 9e-7, 1e-6, 1.1e-6, 3e-6]):
+        for block in range(dims // 8 - 1):
+            pair = vector_pair(dims, share, over, block)
+            for at, v in enumerate(pair):
+                want[len(rows)] = len(rows) - at
+                rows.append((len(rows), v, 100 * k + block))
+    assert all(np.dot(a[1], b[1]) >= 0.93 for a, b in zip(rows[::2], rows[1::2]))
+    got = vectors.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got} == {i: (1, first) for i, first in want.items()}
+
+
+def test_vectors_of_any_length(spark):
+    rng = np.random.default_rng(4)
+    v = rng.standard_normal(16)
+    rows = [(k, (v * size).tolist(), 0, 5) for k, size in enumerate([1, 1e200, 1e-200, 3e307, 1e-307])] + [(9, (-v * 1e200).tolist(), 0, 5)]
+    got = vectors.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int, n_links int")).collect()
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got} == {**{k: (4, 0) for k in range(5)}, 9: (0, 9)}
+    turned = vectors._turned(vectors._unit(pa.array([r[1] for r in rows])))
+    assert all((turned[k : k + n] == vectors._turned(vectors._unit(pa.array([r[1] for r in rows[k : k + n]])))).all() for k in range(4) for n in (1, 2))
+
+
+def brute_scores(items):
+    """BM25 score of the words of each of two items in the index of all, over that of the item itself."""
+    own = [re.findall("[a-z0-9]+", t) for _, t in items]
+    mean, n = np.mean([len(w) for w in own]), len(own)
+
+    def weight(word, w):
+        found, tf = sum(word in o for o in own), w.count(word)
+        return math.log(1 + (n - found + 0.5) / (found + 0.5)) * tf * 2.2 / (tf + 1.2 * (1 - 0.75 + 0.75 * len(w) / mean))
+
+    return lambda words, k: sum(weight(x, own[k]) for x in set(words) if x in own[k]) / sum(weight(x, own[k]) for x in set(own[k]))
+
+
+def test_scores_are_those_of_the_whole_benchmark(spark, monkeypatch):
+    rng = np.random.default_rng(12)
+    some = ["".join(rng.choice(list("abcdefgh"), 3)) for _ in range(60)]
+    items = [(k if k != 5 else None, " ".join(rng.choice(some, 20 + k))) for k in range(11)]
+    docs = [(k, " ".join(rng.choice(some, 30)) + " " + t) for k, (_, t) in enumerate(items)]
+    docs += [(100 + k, " ".join(x if j % 9 else "other" for j, x in enumerate(t.split()))) for k, (_, t) in enumerate(items)]
+    schema = "long, text string, passage int, score int, row int"
+    frames = [spark.createDataFrame([(*r, 1, 2, 3) for r in rows], f"{name} {schema}") for rows, name in ((docs, "doc_id"), (items, "item_id"))]
+    whole = {(r.doc_id, r.item_id): r for r in decontamination.leaks(*frames).collect()}
+    assert {(k, i) for k, (i, _) in enumerate(items)} <= set(whole) and (5, None) in whole and any(d >= 100 for d, _ in whole)
+    brute = brute_scores(items)
+    for (d, i), r in whole.items():
+        k = next(k for k, (x, _) in enumerate(items) if x == i)
+        words, step = docs[d if d < 100 else d - 89][1].split(), max(len(t.split()) for _, t in items)
+        assert r.passage % step == 0 and r.score == pytest.approx(brute(words[r.passage : r.passage + 2 * step], k), abs=1e-6)
+    monkeypatch.setattr(decontamination, "INDEX_ITEMS", 3)
+    cut = {(r.doc_id, r.item_id): r for r in decontamination.leaks(*frames).collect()}
+    assert set(cut) == set(whole) and all(cut[k].score == pytest.approx(whole[k].score, abs=1e-12) for k in cut)
+    assert {r.doc_id for r in decontamination.decontaminated(*frames).collect()} == {d for d, _ in docs} - {d for d, _ in whole}
+
+
+@pytest.mark.parametrize("side", [0, 1])
+def test_leaks_of_empty_tables(spark, side):
+    frames = [spark.createDataFrame([(1, LONG)], f"{name} long, text string") for name in ("doc_id", "item_id")]
+    frames[side] = frames[side].limit(0)
+    assert decontamination.leaks(*frames).collect() == []
+    assert decontamination.decontaminated(*frames).count() == side
+
+
 def test_leaks(spark):
     rng = np.random.default_rng(3)
     invent = lambda n: " ".join("".join(rng.choice(list("abcdefghij"), 4)) for _ in range(n))
@@ -186,6 +265,18 @@ def test_quality_on_held_out_documents(spark, folder):
     assert {r.score for r in none} == {0.5} and {r.predicted for r in none} == {0}
     odd = spark.createDataFrame([(None, None), (1, ""), (2, "x " * 9)], "doc_id long, text string")
     assert all(0 <= r.score <= 1 for r in quality.classify_quality(odd, labels).collect())
+    assert quality.classify_quality(docs.limit(0), labels).collect() == []
+
+
+def test_accepted_rows_keep_clashing_columns(spark, folder):
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    scores = {r.doc_id: r.score for r in quality.classify_quality(docs, labels).collect()}
+    odd = docs.selectExpr("1 as score", "2 as doc", "3 as quality_score_", "4 as label_", "*")
+    kept = quality.accepted(odd, labels)
+    assert kept.columns == odd.columns
+    rows = kept.collect()
+    assert {r.doc_id for r in rows} == {d for d, s in scores.items() if s >= quality.ACCEPT} and {(r.score, r.doc, r.quality_score_) for r in rows} == {(1, 2, 3)}
+    assert quality.accepted(odd.limit(0), labels).collect() == []
 
 
 def brute_groups(rows):
@@ -305,6 +396,24 @@ def test_conversations(spark):
     assert chat.maximal_conversations(frame.limit(0)).collect() == []
 
 
+def test_turns_without_a_conversation(spark):
+    """Each is a conversation of its own: never joined to others, a snapshot where one begins with it."""
+    turns = [(None, 0, "user", "lost"), (None, 1, "bot", "found"), (None, 4, "bot", "found"), (None, 4, "bot", "found"), (None, 2, "user", "hi"), (None, 0, "user", "whole"),
+             (None, None, None, None), (7, 0, "user", "hi"), (7, 1, "bot", "yes"), (8, 3, "user", "whole")]
+    frame = spark.createDataFrame([(*t, 1, 2) for t in turns], "conv_id long, turn long, role string, text string, alone int, first int")
+    rows = chat.maximal_conversations(frame).collect()
+    text = lambda role, said: f"<|im_start|>{role}\n{said}<|im_end|>\n"
+    assert sorted(map(str, map(tuple, rows))) == sorted(map(str, [
+        (None, 1, 1, text("user", "lost")), (None, 1, 2, text("bot", "found")), (None, 1, 1, text("", "")),
+        (7, 2, 1, text("user", "hi") + text("bot", "yes")), (8, 1, 2, text("user", "whole")),
+    ]))
+    import duckdb
+
+    base = duckdb.connect()
+    base.register("conversations", pa.Table.from_pylist([dict(zip(("conv_id", "turn", "role", "text"), t)) for t in turns]))
+    assert sorted(map(str, base.execute(chat.OP9_SQL).fetchall())) == sorted(str(tuple(r)) for r in rows)
+
+
 def test_packing(docs):
     from tokenizers import Tokenizer
 

@@ -2,37 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ebbtide.llm.common import materialise, table
 
 
-def _running(size: int):
-    """Running sum of the size column and row number of each row within its partition."""
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = rows = 0
-        for b in batches:
-            sizes = b.column(size).to_numpy(zero_copy_only=False).astype(np.int64)
-            ends = total + np.cumsum(sizes)
-            at = rows + np.arange(len(sizes))
-            yield pa.RecordBatch.from_arrays(
-                [*b.columns, pa.array(ends - sizes), pa.array(at, type=pa.int64())],
-                names=[*b.schema.names, "before_", "at_"],
-            )
-            rows += len(sizes)
-            total = int(ends[-1]) if len(sizes) else total
-
-    return add
-
-
 def contiguous_shards(rows: DataFrame, order: list[Column], size: Column, shards: int = 8) -> DataFrame:
     """``rows`` with ``shard`` (0 to ``shards`` - 1) and ``slot`` (place in the shard, from 0).
 
@@ -49,13 +25,17 @@ def contiguous_shards(rows: DataFrame, order: list[Column], size: Column, shards
         F.coalesce(size, F.lit(0)).cast("long").alias("size_"),
         F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)], F.monotonically_increasing_id().alias("tie")).alias("key_"),
     )
-    ranged = named.repartitionByRange("key_").sortWithinPartitions("key_").select("row_", "size_", F.spark_partition_id().alias("part_"))
-    schema = T.StructType(ranged.schema.fields + [T.StructField("before_", T.LongType()), T.StructField("at_", T.LongType())])
-    placed = materialise(ranged.mapInArrow(_running(1), schema))
+    ranged = named.repartitionByRange("key_").sortWithinPartitions("key_")
+    # The high bits of the number are the partition, the low 33 the place in it.
+    numbered = ranged.select("row_", "size_", F.monotonically_increasing_id().alias("id_"))
+    place = numbered.select("row_", "size_", F.shiftright("id_", 33).alias("part_"), F.col("id_").bitwiseAND((1 << 33) - 1).alias("at_"))
+    written = materialise(place)
+    earlier = Window.partitionBy("part_").orderBy("at_").rowsBetween(Window.unboundedPreceding, -1)
+    placed = written.withColumn("before_", F.coalesce(F.sum("size_").over(earlier), F.lit(0)))
 
     # One row per partition: where it starts in the whole table.
     ahead = Window.orderBy("part_").rowsBetween(Window.unboundedPreceding, -1)
-    parts = placed.groupBy("part_").agg(F.sum("size_").alias("bytes_"), F.count(F.lit(1)).alias("rows_"))
+    parts = written.groupBy("part_").agg(F.sum("size_").alias("bytes_"), F.count(F.lit(1)).alias("rows_"))
     starts = parts.select(
         "part_",
         F.coalesce(F.sum("bytes_").over(ahead), F.lit(0)).alias("bytes_ahead_"),

@@ -385,6 +385,14 @@ def test_shards(docs):
     assert order == sorted(order)
 
 
+def test_shards_are_numbered_without_python(docs, monkeypatch):
+    seen = []
+    monkeypatch.setattr(sharding, "materialise", lambda df: (seen.append(df), materialise(df))[1])
+    rows = sharding.contiguous_shards(docs, [F.col("doc_id")], F.lit(1), shards=4)
+    for df in (*seen, rows):
+        assert not re.search("InArrow|InPandas|EvalPython", df._jdf.queryExecution().executedPlan().toString())
+
+
 def test_conversations(spark):
     turns = [(1, 0, "user", "hi"), (1, 1, "bot", "yes"), (2, 0, "user", "hi"), (3, 0, "user", "hi"), (3, 1, "bot", "yes"), (4, 0, "user", "hi"), (4, 1, "bot", "no"),
              (4, 1, "bot", "no"), (5, 0, None, None), (6, None, "user", "<|im_end|>"), (None, 0, "user", "lost")]

@@ -8,6 +8,7 @@ than ``CACHE_BYTES`` are never kept.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 
@@ -18,11 +19,12 @@ CACHE_BYTES = 48
 
 #: Code points that count as white space under some definition, but for space and newline.
 _EXOTIC = "".join(map(chr, [9, 11, 12, 13, *range(0x1C, 0x20), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
-#: Such characters, runs of white space, and white space at either end of a text.
-_UNUSUAL = re.compile(rf"[{_EXOTIC}]|[ \n]{{2}}|\A[ \n]|[ \n]\Z")
+_ODD = re.compile(rf"[{_EXOTIC}]")
 #: From one black character followed by plain white space to the next.
 _PIECES = re.compile(r"\s*\S+(?:[^\S \t\n\r]\s*\S*)*|\s+")
-#: Marks that form a piece of their own after an ASCII letter.
+#: Letters in every version of Unicode, so to each library.
+_LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ɏ]+")
+#: Marks that form a piece of their own after a letter.
 _MARKS = b".,!?;:#$%&*|"
 
 
@@ -57,15 +59,18 @@ class _Cache(dict):
                 self.marks[marks] = found
         return found
 
-    def text_of(self, word: bytes) -> str:
-        return word.decode()
+    def word_ids(self, word: bytes) -> bytes:
+        return self.ids(word.decode())
+
+    def ends_in_letter(self, stem: bytes) -> bool:
+        return stem[-1:].isalpha() and stem.isascii()
 
     def __missing__(self, word: bytes) -> bytes:
         stem = word.rstrip(_MARKS)
-        if stem != word and stem[-1:].isalpha() and stem.isascii():
+        if stem != word and self.ends_in_letter(stem):
             found = self[stem] + self.mark(word[len(stem) :])
         else:
-            found = self.ids(self.text_of(word))
+            found = self.word_ids(word)
         if len(word) <= CACHE_BYTES:
             if len(self) >= CACHE_WORDS:
                 self.clear()
@@ -88,27 +93,66 @@ class WordEnds(_Cache):
         return b"".join(map(self.__getitem__, text.split()))
 
 
+class _Unusual(Exception):
+    """White space that does not part words."""
+
+
+#: Bytes as byte-level tokenizers spell them: printable ones as themselves, others from U+0100 on.
+_PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_SPELLING = {b: 0x100 + i for i, b in enumerate(sorted(set(range(256)) - set(_PRINTABLE)))}
+
+
+def _merges_only(library) -> bool:
+    """Whether the ids of a word of letters, spelt byte by byte, are those of the library's merges alone."""
+    told = json.loads(library.to_str())
+    split, model = told["pre_tokenizer"] or {}, told["model"]
+    plain = split.get("type") == "ByteLevel" and split.get("use_regex") and not split.get("add_prefix_space")
+    merges = model.get("type") == "BPE" and not any(model.get(x) for x in ("dropout", "continuing_subword_prefix", "end_of_word_suffix"))
+    return bool(plain and merges and not told["normalizer"] and not any(_LETTERS.fullmatch(t["content"].strip()) for t in told["added_tokens"]))
+
+
 class ByteLevel(_Cache):
     """Byte-level tokenizers that keep a space with the word after it.
 
     A text without unusual white space is cut before each single space or newline. Any other
-    text is cut only where a black character is followed by plain white space.
+    text (runs of white space, at either end, or white space under some definition only) is cut
+    only where a black character is followed by plain white space. Unusual white space leaves
+    an empty word or an odd one, which is never kept, so it shows when the word is looked up.
+    Words of letters alone are one piece and go to the library's merges at once.
     """
 
     def __init__(self, path: str):
         super().__init__(path)
-        self.first: dict[bytes, bytes] = {}
+        self.model = self.library.model if _merges_only(self.library) else None
+
+    def _merged(self, letters: bytes, before: str) -> bytes:
+        spelt = before + letters.decode("latin-1").translate(_SPELLING)
+        return b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(spelt)])
+
+    def word_ids(self, word: bytes) -> bytes:
+        text = word.decode()
+        if _LETTERS.fullmatch(text, 1 if text[0] == "\n" else 0) and self.model is not None:
+            return self.mark(b"\n") + self._merged(word[1:], "") if text[0] == "\n" else self._merged(word, "Ġ")
+        return self.ids(text if text[0] == "\n" else " " + text)
 
-    def text_of(self, word: bytes) -> str:
-        return word.decode() if word.startswith(b"\n") else " " + word.decode()
+    def ends_in_letter(self, stem: bytes) -> bool:
+        return _LETTERS.fullmatch(stem.decode()[-1:]) is not None
+
+    def __missing__(self, word: bytes) -> bytes:
+        if word in (b"", b"\n") or _ODD.search(word.decode()):
+            raise _Unusual
+        return super().__missing__(word)
 
     def encode(self, text: bytes) -> bytes:
         if not text:
             return b""
-        if _UNUSUAL.search(whole := text.decode()):
-            return b"".join(self.ids(piece) for piece in _PIECES.findall(whole))
         head, *rest = text.replace(b"\n", b" \n").split(b" ")
-        return self.ids(head.decode()) + b"".join(map(self.__getitem__, rest))
+        try:
+            if not head or _ODD.search(start := head.decode()):
+                raise _Unusual
+            return self.ids(start) + b"".join(map(self.__getitem__, rest))
+        except _Unusual:
+            return b"".join(map(self.ids, _PIECES.findall(text.decode())))
 
 
 _open: dict[tuple[type, str], _Cache] = {}

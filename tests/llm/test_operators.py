@@ -85,6 +85,24 @@ def test_cached_encoding_is_that_of_the_library(name, kind):
         assert np.frombuffer(cache.encode(text.encode()), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_words_of_letters_go_to_the_merges(monkeypatch):
+    from tokenizers import Tokenizer
+
+    path = vocab.default_path("byte_bpe_50k.json")
+    library, cache, asked = Tokenizer.from_file(path), vocab.ByteLevel(path), []
+    monkeypatch.setattr(cache, "ids", lambda text: (asked.append(text), vocab.ByteLevel.ids(cache, text))[1])
+    rng = np.random.default_rng(4)
+    made = ["".join(rng.choice(list("aeinrstÉñüɏZ"), rng.integers(1, 12))) for _ in range(300)]
+    text = "Start " + "".join(w + str(rng.choice(["", ".", "%%%"])) + str(rng.choice([" ", "\n"])) for w in made) + "end"
+    assert np.frombuffer(cache.encode(text.encode()), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    assert len(asked) <= 5  # the first word, the marks and the line's end
+    # White space that parts no words, letters that not every library knows, numbers and the special token.
+    pieces = [" ", "\n", "a", "The", "é", "ɐ", "ª", "²", "1", ".", "!!", "'s", "\t", "\xa0", "\x85", "\u200b", "\u3000", "日", "\u0301", "<|endoftext|>"]
+    for _ in range(3000):
+        text = "".join(rng.choice(pieces, rng.integers(1, 12)))
+        assert np.frombuffer(cache.encode(text.encode()), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+
+
 def test_near_vectors(spark):
     rng = np.random.default_rng(1)
     base = rng.standard_normal((12, 20))

@@ -6,15 +6,16 @@ followed it, and a failure arc to the root, whose arcs carry the unigram probabi
     P(w | h) = (1 - l(h)) c(h w) / c(h) + l(h) P(w),    l(h) = K T(h) / (C(h) + K T(h))
 
 P(w) takes a discount D = n1 / (n1 + 2 n2) from each known word and gives it to the one unknown
-word. T and C, successor types and count, are those of the cell of h, one of ``CELLS`` hash cells:
-any l that depends on h alone keeps the sum over w at 1. A text is traversed once, from the
-state of its beginning to its end token; the state is the word just read, or the root after an
-unknown one.
+word. T(h) and C(h), successor types and count, are those of the history itself. A text is
+traversed once, from the state of its beginning to its end token; the state is the word just
+read, or the root after an unknown one.
 
 The counts are never in one place. Documents are dealt into chunks; a chunk asks, per n-gram,
-for the count over all chunks. Requests travel as arrays, one per chunk and hash range; answers
-name only those n-grams whose total differs from the chunk's own count. Hot n-grams are one
-entry per chunk.
+for the count over all chunks. Requests travel as arrays, one per chunk and hash range, and so
+do the answers, which hold one number for each n-gram in the order in which it was asked for.
+Of all chunks that ask for a pair seen in training one is named to speak for it: successor
+types are summed per history over the pairs that chunks speak for, by a second such round. Hot
+n-grams are one entry per chunk.
 """
 
 from __future__ import annotations
@@ -27,11 +28,10 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ebbtide.llm import sums
 from ebbtide.llm.common import drop_finished, hashed, materialise, mix, table, texts_of
 
-CELL_BITS = 12
-CELLS = 1 << CELL_BITS
+#: For callers that size a table of successor types by it; the model has one number per history.
+CELLS = 1 << 12
 #: Weight of the successor types against the count.
 K = 4.0
 CHUNK_BYTES = 8 << 20
@@ -62,14 +62,8 @@ def _histories(tokens: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 def _pair(history: np.ndarray, token: np.ndarray) -> np.ndarray:
-    """Hash of a pair whose last bits are the cell of its history."""
-    low = np.uint64(CELLS - 1)
-    return (mix(history * np.uint64(0xD6E8FEB86659FD93) + token) & ~low) | (history & low)
-
-
-def _cell(word: np.ndarray) -> np.ndarray:
-    """Cell of a word, or of the history of a pair."""
-    return (word & np.uint64(CELLS - 1)).astype(np.int64)
+    """Hash of a pair."""
+    return mix(history * np.uint64(0xD6E8FEB86659FD93) + token)
 
 
 def _planes(numbers: np.ndarray) -> bytes:
@@ -97,6 +91,19 @@ def _distinct(keys: np.ndarray, trained: np.ndarray) -> tuple[np.ndarray, np.nda
     return distinct, back, np.bincount(back[trained], minlength=len(distinct))
 
 
+_KEYS = pa.schema([("chunk", pa.int32()), ("order", pa.int32()), ("range", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
+_KEYS_DDL = "chunk int, order int, range int, keys binary, counts binary"
+
+
+def _cut(chunk: int, order: int, distinct: np.ndarray, counts: np.ndarray, ranges: int) -> pa.Table:
+    """Sorted distinct keys of a chunk with its own counts, one row per hash range."""
+    counts = counts.astype("<i4")
+    bucket = ((distinct >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)
+    cut = np.searchsorted(bucket, np.arange(ranges + 1, dtype=np.uint64)).tolist()
+    rows = [(chunk, order, k, _pack(distinct[a:b]), _planes(counts[a:b])) for k, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if a < b]
+    return pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _KEYS, strict=True)], schema=_KEYS) if rows else _KEYS.empty_table()
+
+
 def _requests(ranges: int):
     """Distinct words (order 1) and pairs (order 2) of each chunk with their training counts, cut by hash range.
 
@@ -104,86 +111,92 @@ def _requests(ranges: int):
     for what it holds.
     """
 
-    def ask(chunk: int, texts: list[bytes], aside: list[bool]) -> pa.RecordBatch:
+    def ask(chunk: int, texts: list[bytes], aside: list[bool]) -> Iterator[pa.RecordBatch]:
         tokens, sizes = _tokens(texts)
         trained = np.repeat(~np.array(aside), sizes)
-        rows: list[tuple] = []
         for order in (1, 2):
             distinct, _, counts = _distinct(tokens if order == 1 else _pair(_histories(tokens, sizes), tokens), trained)
-            counts = counts.astype("<i4")
-            bucket = ((distinct >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)
-            cut = np.searchsorted(bucket, np.arange(ranges + 1, dtype=np.uint64))
-            rows += [(chunk, order, k, _pack(distinct[a:b]), _planes(counts[a:b])) for k, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if a < b]
-        types = (pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=["chunk", "order", "range", "keys", "counts"])
+            yield from _cut(chunk, order, distinct, counts, ranges).combine_chunks().to_batches()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk, texts, aside = None, [], []
         for b in batches:
             for c, text, out in zip(b.column(0).to_pylist(), texts_of(b.column(1)), b.column(2).to_pylist(), strict=True):
                 if c != chunk and texts:
-                    yield ask(chunk, texts, aside)
+                    yield from ask(chunk, texts, aside)
                     texts, aside = [], []
                 chunk = c
                 texts.append(text)
                 aside.append(out)
         if texts:
-            yield ask(chunk, texts, aside)
+            yield from ask(chunk, texts, aside)
 
     return run
 
 
-_ANSWERS = "chunk int, order int, keys binary, counts binary, n long, v long, once long, twice long, slice int, cells binary"
+_ANSWERS = "chunk int, order int, range int, counts binary, n long, v long, once long, twice long"
 
 
 def _answers(group: pa.Table) -> pa.Table:
-    """Totals of one hash range: for each chunk those that differ from its own, and sums for the smoothing."""
-    order = group.column("order")[0].as_py()
+    """Totals of one hash range for every chunk in the order of its keys, and sums for the smoothing.
+
+    Each number is twice the total, plus 1 in the one chunk that speaks for the key. All keys
+    that were asked for are answered; a chunk that asked in two rows gets one for both.
+    """
+    order, part = group.column("order")[0].as_py(), group.column("range")[0].as_py()
+    group = group.sort_by("chunk")
     keys = [_unpack(x) for x in group.column("keys").to_pylist()]
     own = np.concatenate([_numbers(x, "<i4") for x in group.column("counts").to_pylist()]).astype(np.int64)
     chunk = np.repeat(group.column("chunk").to_numpy(), [len(x) for x in keys])
     key = np.concatenate(keys)
     place = np.argsort(key, kind="stable")  # rows of sorted arrays: mostly merging
     key, own, chunk = key[place], own[place], chunk[place]
+    entry = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (chunk[1:] != chunk[:-1]))))
+    key, own, chunk = key[entry], np.add.reduceat(own, entry), chunk[entry]
     begin = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
     each = np.add.reduceat(own, begin)
-    total = np.repeat(each, np.diff(np.append(begin, len(key))))
-    cells = np.zeros(2 * CELLS, np.int64)
-    if order == 1:
-        np.add.at(cells, _cell(key[begin]), each)
-    else:
-        cells[CELLS:] = np.bincount(_cell(key[begin]), each > 0, CELLS)
-    news = np.flatnonzero(total != own)
-    # Where a chunk asked twice, its answers are the same.
-    news = news[np.argsort(chunk[news], kind="stable")]
-    repeated = np.zeros(len(news), bool)
-    repeated[1:] = (chunk[news][1:] == chunk[news][:-1]) & (key[news][1:] == key[news][:-1])
-    news = news[~repeated]
-    names, at = np.unique(chunk[news], return_index=True)
-    ends = np.append(at, len(news))[1:]
+    told = np.repeat(2 * each, np.diff(np.append(begin, len(key))))
+    told[begin] += each > 0
+    told = told[np.argsort(chunk, kind="stable")].astype("<i8")
+    names, sizes = np.unique(chunk, return_counts=True)
+    ends = np.cumsum(sizes)
     many = len(names)
-    statistics = [len(each), int(each.sum()), int((each > 0).sum()), int((each == 1).sum()), int((each == 2).sum())]
-    part = sums.rows_of(cells)
-    n = part.num_rows
-    first = [x if order == 1 else 0 for x in statistics[1:]]
+    first = [int(each.sum()), int((each > 0).sum()), int((each == 1).sum()), int((each == 2).sum())] if order == 1 else [0] * 4
     return pa.table({
-        "chunk": pa.array([*names.tolist(), *[None] * n], pa.int32()), "order": pa.array([order] * (many + n), pa.int32()),
-        "keys": pa.array([*[_pack(key[news[a:b]]) for a, b in zip(at, ends, strict=True)], *[None] * n], pa.binary()),
-        "counts": pa.array([*[_planes(total[news[a:b]].astype("<i8")) for a, b in zip(at, ends, strict=True)], *[None] * n], pa.binary()),
-        **{x: pa.array([*[None] * many, v, *[0] * (n - 1)], pa.int64()) for x, v in zip(("n", "v", "once", "twice"), first, strict=True)},
-        "slice": pa.array([*[None] * many, *part.column(0).to_pylist()], pa.int32()),
-        "cells": pa.array([*[None] * many, *part.column(1).to_pylist()], pa.binary()),
+        "chunk": pa.array(names, pa.int32()), "order": pa.array([order] * many, pa.int32()), "range": pa.array([part] * many, pa.int32()),
+        "counts": pa.array([_planes(told[b - n : b]) for n, b in zip(sizes.tolist(), ends.tolist(), strict=True)], pa.binary()),
+        **{x: pa.array([v, *[0] * (many - 1)], pa.int64()) for x, v in zip(("n", "v", "once", "twice"), first, strict=True)},
     })
 
 
+def _told(answers: pa.Table, order: int) -> np.ndarray:
+    """The numbers of all sorted distinct keys of a chunk: ranges follow each other as their keys do."""
+    of = answers.filter(pa.compute.equal(answers.column("order"), order)).sort_by("range")
+    return np.concatenate([np.zeros(0, "<i8"), *[_numbers(x, "<i8") for x in of.column("counts").to_pylist()]])
+
+
+def _successors(ranges: int):
+    """Per history of a chunk the pairs that the chunk speaks for, cut by hash range (order 3)."""
+
+    def count(docs: pa.Table, answers: pa.Table) -> pa.Table:
+        tokens, sizes = _tokens(texts_of(docs.column("text").combine_chunks()))
+        before = _histories(tokens, sizes)
+        _, at = np.unique(_pair(before, tokens), return_index=True)
+        histories, back = np.unique(before, return_inverse=True)
+        speaks = (_told(answers, 2) & 1).astype(bool)
+        types = np.bincount(back[at[speaks]], minlength=len(histories))
+        return _cut(docs.column("chunk")[0].as_py(), 3, histories, types, ranges)
+
+    return count
+
+
 class Weights:
-    """What every traversal needs beside the counts; of fixed size."""
+    """What a traversal needs beside the counts: sums of the corpus, and successor types by history."""
 
-    def __init__(self, n: int, v: int, once: int, twice: int, cells: np.ndarray):
+    def __init__(self, n: int, v: int, once: int, twice: int, types: np.ndarray):
         self.n, self.v = n, v
         self.discount = once / (once + 2 * twice) if once and twice else 0.5
-        types = K * cells[CELLS:]
-        self.failure = np.where(types > 0, types / np.maximum(cells[:CELLS] + types, 1e-12), 1.0)
+        self.types = K * types
 
     def unigram(self, count: np.ndarray) -> np.ndarray:
         if not self.n:
@@ -192,33 +205,28 @@ class Weights:
 
     def arc(self, history: np.ndarray, count: np.ndarray, pair: np.ndarray, unigram: np.ndarray) -> np.ndarray:
         """log10 of the arc of a state where it has one, else failure to the root and the arc there."""
-        fail = np.where(count > 0, self.failure[_cell(history)], 1.0)
+        types = self.types[history]
+        fail = np.where(count > 0, types / np.maximum(count + types, 1), 1.0)
         return np.log10(np.where(pair > 0, (1 - fail) * pair / np.maximum(count, 1) + fail * unigram, fail * unigram))
 
 
-def _traverse(weights: Weights):
-    """Scores of the documents of a chunk from its own counts and the answers to it."""
+def _traverse(*corpus: int):
+    """Scores of the documents of a chunk from the answers to it; ``corpus``: n, v, once, twice."""
 
     def traverse(docs: pa.Table, answers: pa.Table) -> pa.Table:
         tokens, sizes = _tokens(texts_of(docs.column("text").combine_chunks()))
-        aside = docs.column("held_out").to_numpy(zero_copy_only=False)
-        trained = np.repeat(~aside, sizes)
         before = _histories(tokens, sizes)
-        sheet = {}
-        for order, keys in ((1, tokens), (2, _pair(before, tokens))):
-            distinct, back, counts = _distinct(keys, trained)
-            of = answers.filter(pa.compute.equal(answers.column("order"), order))
-            for k, c in zip(of.column("keys").to_pylist(), of.column("counts").to_pylist(), strict=True):
-                counts[np.searchsorted(distinct, _unpack(k))] = _numbers(c, "<i8")
-            sheet[order] = counts[back]
-            if order == 1:
-                ends = counts[np.searchsorted(distinct, END)]
-        word = sheet[1]
+        # The sheets of words, pairs and histories: numbers of the distinct ones, and the place of each token's.
+        distinct, back = np.unique(tokens, return_inverse=True)
+        counts = _told(answers, 1) >> 1
+        word, ends = counts[back], counts[np.searchsorted(distinct, END)]
+        pair = (_told(answers, 2) >> 1)[np.unique(_pair(before, tokens), return_inverse=True)[1]]
+        weights = Weights(*corpus, _told(answers, 3) >> 1)
         # The word before, or as many beginnings as there are ends.
         state = np.concatenate(([0], word[:-1]))
         begin = np.cumsum(sizes) - sizes
         state[begin] = ends
-        score = weights.arc(before, state, sheet[2], weights.unigram(word))
+        score = weights.arc(np.unique(before, return_inverse=True)[1], state, pair, weights.unigram(word))
         base = np.log10((word + 0.5) / (weights.n + 0.5 * (weights.v + 1)))
         add = lambda x: np.add.reduceat(x, begin)
         return pa.table({
@@ -247,16 +255,20 @@ def score_texts(docs: DataFrame) -> DataFrame:
     dealt = slim.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int"))
     dealt = materialise(dealt.repartition("chunk").sortWithinPartitions("chunk"))
     drop_finished(spark)
-    requests = dealt.select("chunk", "text", "held_out").mapInArrow(_requests(ranges), "chunk int, order int, range int, keys binary, counts binary")
-    answers = materialise(requests.groupBy("order", "range").applyInArrow(_answers, _ANSWERS))
-    del requests
+    asked = dealt.select("chunk", "text", "held_out").mapInArrow(_requests(ranges), _KEYS_DDL)
+    answers = materialise(asked.groupBy("order", "range").applyInArrow(_answers, _ANSWERS))
+    del asked
+    drop_finished(spark)
+    corpus = [x or 0 for x in answers.agg(*[F.sum(x) for x in ("n", "v", "once", "twice")]).first()]
+    told = answers.select("chunk", "order", "range", "counts")
+    texts = dealt.select("chunk", "text").groupBy("chunk")
+    spoken = texts.cogroup(told.where("order = 2").groupBy("chunk")).applyInArrow(_successors(max(4, ranges // 8)), _KEYS_DDL)
+    types = materialise(spoken.groupBy("order", "range").applyInArrow(_answers, _ANSWERS))
+    del spoken, texts
     drop_finished(spark)
-    n, v, once, twice = (x or 0 for x in answers.agg(*[F.sum(x) for x in ("n", "v", "once", "twice")]).first())
-    cells = sums.total(answers.where("slice IS NOT NULL").select("slice", "cells"), 2 * CELLS)
-    weights = Weights(n, v, once, twice, cells)
-    told = answers.where("chunk IS NOT NULL").select("chunk", "order", "keys", "counts")
+    told = told.unionByName(types.select("chunk", "order", "range", "counts"))
     out = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return dealt.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(_traverse(weights), out)
+    return dealt.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(_traverse(*corpus), out)
 
 
 def op4_backoff_automaton(spark, folder: str) -> DataFrame:

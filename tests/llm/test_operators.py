@@ -265,6 +265,38 @@ def test_language_model(docs):
         assert r.base_score < 0 and r.score < 0
 
 
+def test_scores_are_those_of_each_history(spark, monkeypatch):
+    monkeypatch.setattr(language_model, "CHUNK_BYTES", 4000)  # n-grams in many chunks
+    rng = np.random.default_rng(6)
+    known = [f"w{i}" for i in range(900)]  # far more histories than a pooled table of cells keeps apart
+    weight = 1 / np.arange(1, 901)
+    texts = [" ".join(rng.choice(known, rng.integers(0, 60), p=weight / weight.sum())) for _ in range(400)] + [None, "", "unseen words"]
+    texts += texts[:40]
+    got = language_model.score_texts(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)).collect()
+    aside = [zlib.crc32(str(i).encode()) % 5 == 1 for i in range(len(texts))]
+    lines = [["<", *words(t), ">"] for t in texts]
+    count, pairs = collections.Counter(), collections.Counter()
+    for own, out in zip(lines, aside, strict=True):
+        if not out:
+            count.update(own)
+            pairs.update(zip(own[:-1], own[1:], strict=True))
+    types = collections.Counter(h for h, _ in pairs)
+    unigrams = {w: c for w, c in count.items() if w != "<"}
+    n, v = sum(unigrams.values()), len(unigrams)
+    once, twice = (sum(c == k for c in unigrams.values()) for k in (1, 2))
+    discount = once / (once + 2 * twice) if once and twice else 0.5
+
+    def arc(h, w):
+        root = (unigrams[w] - discount if w in unigrams else discount * v) / n
+        if h not in types:
+            return root
+        fail = language_model.K * types[h] / (count[h] + language_model.K * types[h])
+        return (1 - fail) * pairs[h, w] / count[h] + fail * root
+
+    want = {i: sum(math.log10(arc(h, w)) for h, w in zip(own[:-1], own[1:], strict=True)) for i, own in enumerate(lines)}
+    assert {r.doc_id: r.score for r in got} == {i: pytest.approx(x, rel=1e-9) for i, x in want.items()}
+
+
 def test_model_sums_to_one():
     weights = language_model.Weights(100, 4, 1, 1, np.full(2 * language_model.CELLS, 3))
     known = np.array([50, 30, 15, 5])

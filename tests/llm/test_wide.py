@@ -11,6 +11,7 @@ import pytest
 from compare import database, difference, spark_table, sql_table
 from ebbtide.llm import alignment, phrases, queries, repeats, suffixes
 from ebbtide.llm.vocab import default_path
+from ebbtide.session import materialise
 from test_operators import DDL, LONG, TEXTS
 
 RNG = random.Random(5)
@@ -185,6 +186,15 @@ def test_phrases(docs, options):
     assert want
 
 
+def test_phrases_are_told_without_a_join(docs, monkeypatch):
+    seen = []
+    monkeypatch.setattr(phrases, "materialise", lambda df: (seen.append(df), materialise(df))[1])
+    monkeypatch.setattr(phrases, "RANGE_WORDS", 7, raising=False)  # many hash ranges, some without a phrase
+    rows = [(r.lang, r.text) for r in docs.collect()]
+    assert sorted(tuple(r) for r in phrases.collocations(docs, least=2, shard_text=500).collect()) == phrases_of(rows, 2, 80, 2000)
+    assert not any("Join" in df._jdf.queryExecution().executedPlan().toString() for df in seen)
+
+
 def test_phrases_against_sql(spark, folder):
     name = "op13_phrase_collocations"
     assert difference(spark_table(queries.QUERIES[name](spark, folder)), sql_table(database(folder), queries.SQL[name])) is None

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ebbtide.llm.common import batch, table, texts_of
+from ebbtide.llm.common import batch, short_batches, table, texts_of
 from ebbtide.llm.vocab import ByteLevel, default_path, encoder
 from ebbtide.session import shared_folder
 
@@ -48,6 +48,8 @@ _BLOCK_DDL = (
     "part int, block int, before long, n_tokens long, rules binary, lengths binary, symbols binary, "
     "doc_ids binary, doc_nulls binary, doc_symbols binary, doc_tokens binary"
 )
+#: A row is about a megabyte: pages and row groups end by their size after any row, not after a hundred at the least.
+_FILES = {"parquet.page.size.row.check.min": 1, "parquet.block.size.row.check.min": 1, "parquet.block.size": 16 << 20}
 
 
 def compress(tokens: np.ndarray, end_id: int = END_ID) -> tuple[np.ndarray, np.ndarray]:
@@ -195,7 +197,8 @@ def write_ids(docs: DataFrame, target: str, path: str | None = None, end_id: int
     key = F.struct(F.col("doc_id").alias("a"), F.xxhash64("text").alias("b"), F.monotonically_increasing_id().alias("c"))
     slim = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).withColumn("key_", key)
     ordered = slim.repartitionByRange("key_").sortWithinPartitions("key_").select("doc_id", "text")
-    ordered.mapInArrow(blocks, _BLOCK_DDL).write.parquet(target)
+    with short_batches(docs.sparkSession):
+        ordered.mapInArrow(blocks, _BLOCK_DDL).write.options(**_FILES).parquet(target)
 
 
 _DOCS_DDL = "doc_id long, part int, at_ long, n_tokens long, ids_crc32 long, ids binary"
@@ -210,7 +213,8 @@ def read_ids(spark: SparkSession, target: str, keep_ids: bool = True) -> DataFra
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for row in b.to_pylist():
+            for i in range(b.num_rows):  # a row is a whole block
+                row = b.slice(i, 1).to_pylist()[0]
                 block = Block(row)
                 whole, ends = block.document(0, len(block.doc_ids)), 4 * block.doc_tokens
                 ids = [whole[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]

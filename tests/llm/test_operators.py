@@ -408,6 +408,31 @@ def test_token_files(docs, tmp_path):
         start += len(want)
 
 
+def test_token_files_take_few_rows_at_a_time(spark, tmp_path, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+
+    name, held, write = "spark.sql.execution.arrow.maxRecordsPerBatch", [], DataFrameWriter.parquet
+    before = spark.conf.get(name)
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, *a, **k: (held.append(int(spark.conf.get(name))), write(self, *a, **k))[1])
+    docs = spark.range(2500, numPartitions=1).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"))
+    grammar.write_ids(docs, str(tmp_path / "ids"))
+    assert held and max(held) <= 1000 and spark.conf.get(name) == before  # whole texts in a batch
+    assert [r.doc_id for r in grammar.read_ids(spark, str(tmp_path / "ids")).orderBy("start").collect()] == list(range(2500))
+
+
+def test_row_groups_of_token_files_end_by_size(spark, docs, tmp_path, monkeypatch):
+    import pyarrow.parquet as pq
+
+    rng = np.random.default_rng(6)
+    blocks = [(0, i, 0, 1, b"", b"", rng.bytes(3 << 20), b"", b"", b"", b"") for i in range(12)]
+    made = spark.createDataFrame(blocks, grammar._BLOCK_DDL).coalesce(1)
+    monkeypatch.setattr(type(made), "mapInArrow", lambda *a, **k: made)
+    grammar.write_ids(docs, str(tmp_path / "ids"))
+    (file,) = (tmp_path / "ids").glob("*.parquet")
+    told = pq.ParquetFile(file).metadata
+    assert told.num_rows == 12 and max(told.row_group(i).total_byte_size for i in range(told.num_row_groups)) < 20 << 20
+
+
 def test_grammar_blocks_decode_anywhere():
     rng = np.random.default_rng(8)
     docs = [np.append(rng.choice([2, 5, 6, 7, 50_000], rng.integers(0, 400), p=[0.1, 0.4, 0.3, 0.1, 0.1]), 2).astype("<u4") for _ in range(60)]

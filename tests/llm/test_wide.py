@@ -94,6 +94,28 @@ def test_repeats_of_a_very_long_text(spark):
     assert got == {1: (1_300_000, 1), 2: (1_300_000, 1), 3: (0, 0)}
 
 
+def test_repeats_deal_no_blocks_by_anchor(spark, monkeypatch):
+    """A line inside many different texts: its blocks differ, have one anchor, and are told apart without meeting in one task."""
+    words = LONG.split()
+    rows = [(i, " ".join(RNG.choices(words, k=90)) + f" {i} " + PASSAGE[:380] + f" {i} " + " ".join(RNG.choices(words, k=90))) for i in range(400)]
+    docs, plans = spark.createDataFrame(rows, "doc_id long, text string"), []
+
+    def written(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return materialise(df)
+
+    monkeypatch.setattr(repeats, "materialise", written)
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "4k")
+    try:
+        got = [tuple(r[:5]) for r in repeats.remove_repeats(docs).collect()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    assert sorted(got, key=str) == [r[:5] for r in removed([(i, t.encode()) for i, t in rows], 400)]
+    cut = [p for p in plans if "_cut_out" in p]
+    assert len(cut) == 1 and "hashpartitioning(anchor" not in cut[0]
+
+
 def test_repeats_need_room_for_an_anchor(docs):
     with pytest.raises(ValueError):
         repeats.remove_repeats(docs, span=20)

@@ -143,3 +143,22 @@ def test_many_parts_are_added_in_groups(data, monkeypatch):
     whole = boosting.fit_boosted(frame, models.WEIGHTED, 2)
     monkeypatch.setattr(boosting, "DRIVER_PARTS", 0)
     assert np.allclose(boosting.fit_boosted(frame, models.WEIGHTED, 2).margin(x), whole.margin(x))
+
+
+def test_rows_of_one_task_are_fitted_in_one_job(spark, data):
+    spark.sparkContext.setJobGroup("one-task", "")
+    try:
+        boosting.fit_boosted(data[0], models.LEAFWISE, 12, weight="weight")
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("one-task")) < 12
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+@pytest.mark.parametrize("added_by_driver", [0, 16])
+def test_spread_rows_give_the_same_trees(data, monkeypatch, added_by_driver):
+    frame, x, _, _ = data
+    whole = boosting.fit_boosted(frame, models.SYMMETRIC, 5, weight="weight")
+    for name, value in (("TASK_ROWS", 100), ("REWRITE", 2), ("DRIVER_PARTS", added_by_driver)):
+        monkeypatch.setattr(boosting, name, value)
+    spread = boosting.fit_boosted(frame, models.SYMMETRIC, 5, weight="weight")
+    assert np.allclose(spread.losses, whole.losses) and np.allclose(spread.margin(x), whole.margin(x))

@@ -1,5 +1,6 @@
 """Fitted models: preprocessing, probabilities, selection, explanation invariants."""
 
+import threading
 import uuid
 
 import pytest
@@ -225,3 +226,18 @@ def test_records_without_a_probability_say_so(spark, folder, run):
     got = {r["customer_id"]: tuple(r)[1:] for r in scoring.record_table(frame, F.col("p")).collect()}
     none = (scoring.NO_SCORE, None, None, None)
     assert got == {"a": none, "b": none, "c": ("bad", None, None, None), "d": (None, 0.9, True, "High")}
+
+
+def test_folds_overlap(spark, folder, monkeypatch):
+    prepared, fitted = threading.Barrier(2, timeout=20), threading.Barrier(2, timeout=20)
+
+    class Fold:
+        def fit_all(self, names):
+            fitted.wait()
+
+        def scores(self, names):
+            return spark.range(1).select(F.col("id").alias("row_key"))
+
+    monkeypatch.setattr(training, "_prepared", lambda *_: prepared.wait() * 0 or Fold())
+    folds = training.prepare_folds(clean(spark, folder), 2)
+    assert training.out_of_fold_scores(folds, ("logistic",)).count() == 2

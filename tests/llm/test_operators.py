@@ -159,6 +159,50 @@ def test_links_at_the_border_of_a_block(spark, dims):
     assert {r.vec_id: (r.n_links, r.component_id) for r in got} == {i: (1, first) for i, first in want.items()}
 
 
+def test_links_at_the_border_of_a_band(spark):
+    """As above, for the share of a band of blocks and cells twice as wide as its radius."""
+    dims, size = 70, vectors.BAND_DIMS
+    share, rows = (2 - 2 * 0.93) * size / dims, []
+    width, turn = 2 * math.sqrt(share + 1e-6), vectors._rotation(dims)
+    for k, over in enumerate([-1e-6, 0, 5e-7, 1e-6, 1.1e-6, 3e-6]):
+        for band in range(2):
+            for start in (-2e-7, -width / 2, width - 2e-7):
+                a, b = np.zeros(dims), np.zeros(dims)
+                for x, at in ((a, start), (b, start + math.sqrt(share + over))):
+                    x[0] = band * (-1 if x is a else 1) * math.sqrt(share * 1.001 + 2e-6) / 2
+                    x[size * band] = at
+                a[-1], b[-1] = -math.sqrt(share / 8) / 2, math.sqrt(share / 8) / 2
+                short = [math.sqrt(1 - x @ x) for x in (a, b)]
+                a[-2], b[-2] = short
+                if np.dot(a, b) >= 0.93:
+                    rows += [(len(rows), (turn @ a).tolist(), 100 * k + 10 * band), (len(rows) + 1, (turn @ b).tolist(), 100 * k + 10 * band)]
+    cosine = lambda x, y: np.dot(x[1], y[1]) / np.linalg.norm(x[1]) / np.linalg.norm(y[1])
+    want = {x[0]: sum(x[0] != y[0] and x[2] == y[2] and cosine(x, y) >= 0.93 for y in rows) for x in rows}
+    assert len(rows) >= 12 and all(want.values())
+    got = vectors.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    assert {r.vec_id: r.n_links for r in got} == want
+
+
+def test_vectors_are_sent_a_few_times(spark, monkeypatch):
+    """Copies for the comparison: two per band of 32 coordinates at most, as given."""
+    rng, sent = np.random.default_rng(3), []
+    rows = [(i, v.tolist(), i % 3) for i, v in enumerate(rng.standard_normal((600, 64)).astype(np.float32))]
+    make = vectors._compare
+
+    def counted(least):
+        sent.append(sum(spark.read.schema(d.schema).parquet(*d.inputFiles()).count() for d in written if "vector" in d.columns))
+        return make(least)
+
+    written, real = [], vectors.materialise
+    monkeypatch.setattr(vectors, "materialise", lambda df: written.append(real(df)) or written[-1])
+    monkeypatch.setattr(vectors, "_compare", counted)
+    out = vectors.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int"))
+    assert out.count() == 600 and sent == [600]
+    classes = next(d for d in written if "vector" in d.columns)
+    cells = classes.mapInArrow(vectors._cells(0.93, ("class",)), "class long, dims int, band int, cell int, home boolean")
+    assert classes.schema["vector"].dataType.simpleString() == "array<float>" and cells.count() <= 4 * 600
+
+
 def test_vectors_of_any_length(spark):
     rng = np.random.default_rng(4)
     v = rng.standard_normal(16)

@@ -5,13 +5,14 @@ import math
 import re
 import struct
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
 from compare import database, difference, spark_table, sql_table
-from ebbtide.llm import chat, decontamination, grammar, jaccard, language_model, packing, quality, queries, sharding, token_counts, vectors, vocab
+from ebbtide.llm import alignment, chat, common, decontamination, grammar, jaccard, language_model, packing, phrases, quality, queries, sharding, token_counts, vectors, vocab
 from ebbtide.session import materialise
 from pyspark.sql import functions as F
 
@@ -213,6 +214,24 @@ def test_vectors_of_any_length(spark):
     assert all((turned[k : k + n] == vectors._turned(vectors._unit(pa.array([r[1] for r in rows[k : k + n]])))).all() for k in range(4) for n in (1, 2))
 
 
+@pytest.mark.parametrize("work", ["chunks"])
+def test_workers_give_their_memory_back(work, monkeypatch):
+    """After each chunk of ``op12`` and before each range of ``op13``."""
+    calls = []
+    module = alignment if work == "chunks" else phrases
+    monkeypatch.setattr(module, "give_back", lambda: calls.append(1) or common.give_back())
+    if work == "chunks":
+        monkeypatch.setattr(alignment, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+        rows = pa.RecordBatch.from_pydict({"doc_id": [1, 2, 3], "text": ["one two", "two", "three two"]})
+        run = alignment._chunked(alignment.default_path("byte_bpe_50k.json"), alignment.default_path("piece_bpe_32k.model"), False, 1)
+        assert len(list(run(iter([rows])))) == 3 and len(calls) == 4
+    else:
+        asked = phrases._ask("en", 7, np.arange(3), pa.array(["a", "bc", "dé"]), np.array([5, 1, 9]), np.arange(3, dtype=np.uint64), 1)
+        group = pa.concat_tables([asked, asked.slice(0, 1)])
+        told = phrases._counted(10)(group)
+        assert len(calls) == 1 and sorted(x for x in zip(told["phrase"].to_pylist(), told["n"].to_pylist()) if x[0]) == [("a", 10), ("dé", 18)]
+
+
 def brute_scores(items):
     """BM25 score of the words of each of two items in the index of all, over that of the item itself."""
     own = [re.findall("[a-z0-9]+", t) for _, t in items]

@@ -214,7 +214,7 @@ def test_vectors_of_any_length(spark):
     assert all((turned[k : k + n] == vectors._turned(vectors._unit(pa.array([r[1] for r in rows[k : k + n]])))).all() for k in range(4) for n in (1, 2))
 
 
-@pytest.mark.parametrize("work", ["chunks"])
+@pytest.mark.parametrize("work", ["chunks", "ranges"])
 def test_workers_give_their_memory_back(work, monkeypatch):
     """After each chunk of ``op12`` and before each range of ``op13``."""
     calls = []
